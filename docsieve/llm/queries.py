@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality
+from . import decontaminate, quality, secrets, shards, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2,
+    "op3_warc": warc.op3,
     "op4_quality_rules": quality.op4,
+    "op6_sharding": shards.op6,
+    "op7_secret_scans": secrets.op7,
 }
 
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.SQL,
+    "op3_warc": warc.SQL,
 }
