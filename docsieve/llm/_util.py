@@ -63,12 +63,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of a frame's size, for choosing partition counts."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def partitions_for(spark: SparkSession, size: int, per_task: int = 16 << 20) -> int:
-    """Partitions of about ``per_task`` bytes, never fewer than the session's shuffle setting."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // per_task))
+    """Partitions of about ``per_task`` bytes, never fewer than the session's shuffle setting
+    (that setting alone where Catalyst knows no size, as for frames made from objects)."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-size // per_task)) if size < 1 << 55 else least
 
 
 # ---------------------------------------------------------------- files from tasks

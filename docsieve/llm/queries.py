@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality, secrets, shards, warc
+from . import decontaminate, quality, secrets, shards, tokenfile, warc
 
 QUERIES = {
+    "op1_token_files": tokenfile.op1,
     "op2_decontamination": decontaminate.op2,
     "op3_warc": warc.op3,
     "op4_quality_rules": quality.op4,
