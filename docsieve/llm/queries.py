@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, quality, secrets, shards, tokenfile, warc
+from . import decontaminate, ngram_join, quality, secrets, shards, tokenfile, warc
 
 QUERIES = {
     "op1_token_files": tokenfile.op1,
     "op2_decontamination": decontaminate.op2,
     "op3_warc": warc.op3,
     "op4_quality_rules": quality.op4,
+    "op5_ngram_jaccard_join": ngram_join.op5,
     "op6_sharding": shards.op6,
     "op7_secret_scans": secrets.op7,
 }
