@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, quality, secrets, shards, tokenfile, warc
+from . import decontaminate, ngram_join, quality, secrets, shards, substrings, tokenfile, warc
 
 QUERIES = {
     "op1_token_files": tokenfile.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_ngram_jaccard_join": ngram_join.op5,
     "op6_sharding": shards.op6,
     "op7_secret_scans": secrets.op7,
+    "op8_substring_dedup": substrings.op8,
 }
 
 ORACLE_SQL = {
