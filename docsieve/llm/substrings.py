@@ -34,82 +34,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import RangeReader, chunks, column, materialise, new_folder, read_table, write_file
+from . import _store
+from ._util import column, materialise, new_folder, read_table
 from ._words import NOT_SPACE, U, Words, covered
 
 WINDOW = 50
 GRAM = 25
 _SHORT = 5
 BLOCK_WORDS = 600_000
-_NO_ID = (1 << 63) - 1
 _MAX = U((1 << 64) - 1)
 
 
-# ---------------------------------------------------------------- the text store
-def _pack_rows(col: pa.Array, ids: np.ndarray) -> bytes:
-    sink = pa.BufferOutputStream()
-    batch = pa.record_batch({"id": pa.array(ids, pa.int64()), "text": col.cast(pa.large_string())})
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
-    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
-
-
-class _Store:
-    """Rows of one store file by their number, block by block."""
-
-    def __init__(self, folder: str, part: int):
-        self.file = RangeReader(f"{folder}/texts-{part:06d}")
-        size = self.file.size()
-        n = int(np.frombuffer(self.file.read(size - 8, 8), "<i8")[0])
-        table = np.frombuffer(self.file.read(size - 8 - 24 * n, 24 * n), "<i8").reshape(n, 3)
-        self.first, self.offset, self.length = table[:, 0], table[:, 1], table[:, 2]
-        self.block, self.rows = -1, None
-
-    def get(self, row: int) -> pa.RecordBatch:
-        b = int(np.searchsorted(self.first, row, side="right")) - 1
-        if b != self.block:
-            raw = zstandard.ZstdDecompressor().decompress(self.file.read(int(self.offset[b]), int(self.length[b])))
-            self.rows, self.block = pa.ipc.open_stream(raw).read_next_batch(), b
-        return self.rows.slice(row - int(self.first[b]), 1)
-
-    def close(self) -> None:
-        self.file.__exit__()
-
-
-def _visits(it: Iterator[pa.RecordBatch], folder: str):
-    """Batches sorted by rid -> (rid, its store row, slices of its batch rows)."""
-    store, part, held, current = None, None, [], None
-
-    def fetch(rid: int) -> pa.RecordBatch:
-        nonlocal store, part
-        if rid >> 33 != part:
-            if store is not None:
-                store.close()
-            part = rid >> 33
-            store = _Store(folder, part)
-        return store.get(rid & ((1 << 33) - 1))
-
-    for batch in it:
-        rid = np.asarray(column(batch, "rid"))
-        if not len(rid):
-            continue
-        edges = np.flatnonzero(np.diff(rid)) + 1
-        for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(rid)]):
-            if held and rid[s] != current:
-                yield current, fetch(current), held
-                held = []
-            current = int(rid[s])
-            held.append(batch.slice(s, e - s))
-    if held:
-        yield current, fetch(current), held
-    if store is not None:
-        store.close()
-
-
 # ---------------------------------------------------------------- minimisers
 def slide(x: np.ndarray, w: int, f) -> np.ndarray:
     """f over every w consecutive values, by doubling."""
@@ -154,32 +92,17 @@ def store_and_scan(docs: DataFrame, doc_id: str, text: str, folder: str, window:
     """Writes the store; per document rid, doc_id, n_words, the digest of all words, distinct anchors."""
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
+    def of(ids: pa.Array, col: pa.Array, rid: np.ndarray) -> dict:
+        w = Words(col, NOT_SPACE, lower=False)
+        where, h = anchors(w, gram, window)
+        cut = np.searchsorted(where, w.rows)
+        own = [np.unique(h[s:e]).view(np.int64) for s, e in zip(cut[:-1], cut[1:])]
+        digest = [hashlib.sha256(b" ".join(t.encode().split())).hexdigest() for t in col.to_pylist()]
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in own])]), pa.int32()), pa.array(np.concatenate(own), pa.int64()))
+        return {"n_words": pa.array(w.count, pa.int64()), "digest": digest, "anchors": lists}
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, out, row, index, at = TaskContext.get().partitionId(), [], 0, [], 0
-
-        def frames():
-            nonlocal row, at
-            for batch in it:
-                for piece, col in chunks(batch, "text"):
-                    ids = column(piece, "doc_id")
-                    frame = _pack_rows(col, np.asarray(ids.fill_null(_NO_ID)))
-                    w = Words(col, NOT_SPACE, lower=False)
-                    where, h = anchors(w, gram, window)
-                    cut = np.searchsorted(where, w.rows)
-                    own = [np.unique(h[s:e]).view(np.int64) for s, e in zip(cut[:-1], cut[1:])]
-                    digest = [hashlib.sha256(b" ".join(t.encode().split())).hexdigest() for t in col.to_pylist()]
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in own])]), pa.int32()), pa.array(np.concatenate(own), pa.int64()))
-                    rid = np.arange(row, row + len(col)) + (part << 33)
-                    out.append(pa.record_batch({"rid": pa.array(rid, pa.int64()), "doc_id": ids, "n_words": pa.array(w.count, pa.int64()), "digest": digest, "anchors": lists}))
-                    index.append((row, at, len(frame)))
-                    row, at = row + len(col), at + len(frame)
-                    yield frame
-            yield np.array(index, "<i8").tobytes() + np.array([len(index)], "<i8").tobytes()
-
-        write_file(f"{folder}/texts-{part:06d}", frames())
-        yield from out
+        return _store.write(it, folder, of)
 
     return docs.mapInArrow(run, "rid long, doc_id long, n_words long, digest string, anchors array<long>")
 
@@ -190,7 +113,7 @@ def _runs(folder: str, window: int, gram: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {k: [] for k in ("key", "rid", "doc_id", "first", "h1", "h2", "words")}
         size = 0
-        for rid, row, batches in _visits(it, folder):
+        for rid, row, batches in _store.visits(it, folder):
             repeated = np.concatenate([np.asarray(column(b, "anchor")) for b in batches]).view(U)
             doc, col = row.column(0)[0].as_py(), row.column(1)
             w = Words(col, NOT_SPACE, lower=False, hashes=2)
@@ -428,7 +351,7 @@ def _cut(folder: str):
     """Covered words sorted by rid -> what is left of the document."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rid, row, batches in _visits(it, folder):
+        for rid, row, batches in _store.visits(it, folder):
             words = row.column(1)[0].as_py().encode().split()
             d = np.zeros(len(words) + 1, np.int64)
             for b in batches:
@@ -448,7 +371,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spark = docs.sparkSession
     folder = new_folder(spark, "texts")
     rows = materialise(store_and_scan(docs, doc_id, text, folder, window, gram), "anchors")
-    each = rows.select("rid", F.coalesce("doc_id", F.lit(_NO_ID)).alias("d"), F.explode("anchors").alias("anchor"))
+    each = rows.select("rid", F.coalesce("doc_id", F.lit(_store.NO_ID)).alias("d"), F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most").select("anchor")
     found = each.select("rid", "anchor").join(shared, "anchor").withColumn("part", F.shiftright("rid", 33))
     runs = found.repartition("part").sortWithinPartitions("rid").select("rid", "anchor").mapInArrow(_runs(folder, window, gram), "key long, rid long, doc_id long, first long, h1 long, h2 long, words binary")
