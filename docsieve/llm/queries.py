@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, quality, secrets, shards, substrings, tokenfile, warc
+from . import decontaminate, ngram_join, pieces, quality, resample, secrets, shards, substrings, tokenfile, warc
 
 QUERIES = {
     "op1_token_files": tokenfile.op1,
@@ -13,6 +13,8 @@ QUERIES = {
     "op6_sharding": shards.op6,
     "op7_secret_scans": secrets.op7,
     "op8_substring_dedup": substrings.op8,
+    "op9_pieces": pieces.op9,
+    "op10_quality_resampling": resample.op10,
 }
 
 ORACLE_SQL = {
