@@ -14,7 +14,7 @@ documents link when |A & B| / |A | B| >= ``numer`` / ``denom``.
     are left out, unless a set has two or more such blocks.
 3.  Sets that meet are tied to the first of their cell; connected components of these
     ties hold every link.
-4.  Within a component the points go into a packed R-tree; pairs of nodes, then of
+4.  Their texts are fetched from the store (the only texts that are shuffled).  Within a component the points go into a packed R-tree; pairs of nodes, then of
     points, survive if the summed coordinate minima still allow the overlap, and the
     survivors are verified on the shingles.  Pairs already connected are not verified
     again.  A component too large for a task is cut into leaves that all share some
@@ -38,8 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import _store
 from ._graph import components
-from ._util import chunks, column, materialise, read_table
+from ._util import chunks, column, materialise, new_folder, read_table
 from ._words import NOT_SPACE, U, Words, mix
 
 K = 3
@@ -114,33 +115,27 @@ def cell_keys(s: np.ndarray, ends: list[int], numer: int, denom: int) -> np.ndar
     return np.concatenate(out).view(np.int64)
 
 
-def features(docs: DataFrame, doc_id: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
-    kind = docs.schema[doc_id].dataType.simpleString()
-    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def features(docs: DataFrame, doc_id: str, text: str, k: int, numer: int, denom: int, folder: str) -> DataFrame:
+    """Writes the text store; rid, doc_id, n, h1, h2 and the cell keys of every row."""
+    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+    def of(_: pa.Array, col: pa.Array, __: np.ndarray) -> dict:
+        sets = shingle_sets(col, k)
+        ends = _bands(max([1 << 10, *(len(s) for s in sets)]) * 2, numer, denom)
+        hashes = [_set_hash(s) for s in sets]
+        keys = [cell_keys(s, ends, numer, denom) for s in sets]
+        cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        return {
+            "n": pa.array([len(s) for s in sets], pa.int64()),
+            "h1": pa.array([h[0] for h in hashes], pa.int64()),
+            "h2": pa.array([h[1] for h in hashes], pa.int64()),
+            "keys": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(keys), pa.int64())),
+        }
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = _bands(1 << 14, numer, denom)
-        for batch in it:
-            for part, col in chunks(batch, "text"):
-                sets = shingle_sets(col, k)
-                most = max((len(s) for s in sets), default=0)
-                if most >= ends[-2]:
-                    ends = _bands(most * 2, numer, denom)
-                hashes = [_set_hash(s) for s in sets]
-                keys = [cell_keys(s, ends, numer, denom) for s in sets]
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
-                yield pa.record_batch(
-                    {
-                        "doc_id": column(part, "doc_id"),
-                        "n": pa.array([len(s) for s in sets], pa.int64()),
-                        "h1": pa.array([h[0] for h in hashes], pa.int64()),
-                        "h2": pa.array([h[1] for h in hashes], pa.int64()),
-                        "keys": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(flat, pa.int64())),
-                    }
-                )
-
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, h1 long, h2 long, keys array<long>")
+        return _store.write(it, folder, of)
+
+    return docs.mapInArrow(run, "rid long, doc_id long, n long, h1 long, h2 long, keys array<long>")
 
 
 def _ties(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,30 +225,25 @@ def links(sets: list[np.ndarray], forest: _Forest, left: np.ndarray | None, nume
 
 
 def _verify(k: int, numer: int, denom: int):
-    """Cells (cell, node, h1, part, minor, text), sorted by cell, to links between nodes."""
+    """Cells (cell, node, part, minor, text), sorted by cell, to links between nodes."""
 
     def group(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(rows)
-        node, h1 = t["node"].to_pylist(), t["h1"].to_pylist()
-        part, minor = t["part"].to_pylist(), np.asarray(t["minor"].combine_chunks())
+        node, part = t["node"].to_pylist(), t["part"].to_pylist()
+        minor = np.asarray(t["minor"].combine_chunks())
         sets: list[np.ndarray] = []
         for b in rows:
             for _, col in chunks(b, "text"):
                 sets += shingle_sets(col, k)
-        # A repeated id brings other texts along: only the row whose set is meant counts, once.
-        seen: set[int] = set()
-        keep = []
-        for i, s in enumerate(sets):
-            if node[i] not in seen and len(s) and _set_hash(s)[0] == h1[i]:
-                seen.add(node[i])
-                keep.append(i)
+        # A minor document can come twice, from its own leaf and from the leaf of all.
+        keep = [i for i in range(len(node)) if i == 0 or node[i] != node[i - 1]]
+        mark = np.maximum.reduceat(minor, keep)
         sets, node, part = [sets[i] for i in keep], [node[i] for i in keep], [part[i] for i in keep]
-        left = minor[keep] if keep else minor
         forest, first = _Forest(len(sets)), {}
         for i, p in enumerate(part):
             if p is not None:
                 forest.join(i, first.setdefault(p, i))
-        found = list(links(sets, forest, left if left.any() else None, numer, denom)) if len(sets) > 1 else []
+        found = list(links(sets, forest, mark if mark.any() else None, numer, denom)) if len(sets) > 1 else []
         return pa.record_batch({"a": pa.array([node[i] for i, _ in found], pa.int64()), "b": pa.array([node[j] for _, j in found], pa.int64())})
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,38 +266,52 @@ def _verify(k: int, numer: int, denom: int):
     return run
 
 
-def _cells(members: DataFrame, texts: DataFrame, k: int, numer: int, denom: int) -> DataFrame:
-    """members: cell, node, doc_id, h1, part, minor."""
-    rows = members.join(texts, F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id", "doc_id")
+def _fetch(folder: str):
+    """Members sorted by node get their texts, in the order of the store."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, row, batches in _store.visits(it, folder, "node"):
+            for b in batches:
+                text = pa.chunked_array([row.column(1)] * b.num_rows).combine_chunks()
+                yield pa.RecordBatch.from_arrays([*b.columns, text.cast(pa.string())], names=[*b.schema.names, "text"])
+
+    return run
+
+
+def _cells(members: DataFrame, folder: str, k: int, numer: int, denom: int) -> DataFrame:
+    """members: cell, node, part, minor.  A node is the number of its row in the store."""
+    cell = "cell struct<root:long,i:long,j:long>, node long, part long, minor boolean"
+    placed = members.select(F.struct(F.col("cell.root").alias("root"), F.col("cell.i").cast("long").alias("i"), F.col("cell.j").cast("long").alias("j")).alias("cell"), "node", "part", "minor")
+    rows = placed.repartition(F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder), f"{cell}, text string")
     return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_verify(k, numer, denom), "a long, b long")
 
 
 # ---------------------------------------------------------------- the join
 def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, numer: int = NUMER, denom: int = DENOM) -> DataFrame:
     """doc_id, n_shingles, component_id, node per row of ``docs``; rows of one node have equal sets."""
-    f = materialise(features(docs, doc_id, text, k, numer, denom).withColumn("rid", F.monotonically_increasing_id()), "sets")
-    reps = f.groupBy("n", "h1", "h2").agg(F.min("rid").alias("node"), F.min_by("doc_id", "rid").alias("rep_id"), F.sum(F.lit(1)).alias("copies"))
+    folder = new_folder(docs.sparkSession, "texts")
+    f = materialise(features(docs, doc_id, text, k, numer, denom, folder), "sets")
+    reps = f.groupBy("n", "h1", "h2").agg(F.min("rid").alias("node"))
     reps = materialise(reps, "set-nodes")
     # 2, 3: cells and ties
-    keys = f.select("rid", "keys").where(F.size("keys") > 0).join(reps.select(F.col("node").alias("rid")), "rid", "left_semi")
+    keys = f.select("rid", "keys").where(F.size("keys") > 0).join(reps.select(F.col("node").alias("rid")).hint("merge"), "rid", "left_semi")
     dealt = keys.select(F.explode("keys").alias("key"), F.col("rid").alias("node"))
     ties = dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_ties, "a long, b long")
     tied = components(ties)
-    tied = materialise(tied.join(reps.select("node", "rep_id", "h1", "n"), "node").select("node", "root", F.col("rep_id").alias("doc_id"), "h1", "n"), "tied")
-    texts = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("text"))
+    tied = materialise(tied.join(reps.select("node", "n"), "node").select("node", "root", "n"), "tied")
     # 4: leaves of bounded size; a root of one leaf is a whole component
     sizes = tied.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("volume")).select("root", F.greatest(F.ceil(F.col("c") / LEAF_DOCS), F.ceil(F.col("volume") * 8 / LEAF_BYTES)).alias("leaves"))
     spread = tied.join(sizes, "root").withColumn("leaf", F.pmod(F.xxhash64("node"), F.col("leaves")))
     no = {"part": F.lit(None).cast("long"), "minor": F.lit(False)}
-    whole = spread.select(F.struct("root", F.lit(-1).cast("long").alias("i"), F.col("leaf").alias("j")).alias("cell"), "node", "doc_id", "h1").withColumns(no)
+    whole = spread.select(F.struct("root", F.lit(-1).cast("long").alias("i"), F.col("leaf").alias("j")).alias("cell"), "node").withColumns(no)
     large = spread.where("leaves > 1")
     pivots = large.withColumn("o", F.row_number().over(Window.partitionBy("root", "leaf").orderBy("n", "node"))).where("o = 1")
     pivots = pivots.where(F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.col("leaves") / PIVOTS, F.lit(1)).cast("long")) == 0)
-    shared = pivots.select("root", "node", "doc_id", "h1", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).where("j != leaf")
-    shared = shared.select(F.struct("root", F.lit(-1).cast("long").alias("i"), F.col("j")).alias("cell"), "node", "doc_id", "h1").withColumns(no)
-    linked = materialise(_cells(whole.unionByName(shared), texts, k, numer, denom), "links")
+    shared = pivots.select("root", "node", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).where("j != leaf")
+    shared = shared.select(F.struct("root", F.lit(-1).cast("long").alias("i"), F.col("j")).alias("cell"), "node").withColumns(no)
+    linked = materialise(_cells(whole.unionByName(shared), folder, k, numer, denom), "links")
     if large.limit(1).count():
-        linked = linked.unionByName(materialise(_rest(large, linked, texts, k, numer, denom), "links"))
+        linked = linked.unionByName(materialise(_rest(large, linked, folder, k, numer, denom), "links"))
     roots = components(linked)
     # Every row: its node, the node's component, the smallest id in it.
     rows = f.select("doc_id", "n", "h1", "h2", "rid").join(reps.select("n", "h1", "h2", "node"), ["n", "h1", "h2"])
@@ -318,7 +322,7 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return least.join(ids, "root").select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "node")
 
 
-def _rest(large: DataFrame, linked: DataFrame, texts: DataFrame, k: int, numer: int, denom: int) -> DataFrame:
+def _rest(large: DataFrame, linked: DataFrame, folder: str, k: int, numer: int, denom: int) -> DataFrame:
     """Links of documents outside the largest linked part of a large component."""
     part = components(linked).select("node", F.col("root").alias("part"))
     rows = large.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -328,10 +332,10 @@ def _rest(large: DataFrame, linked: DataFrame, texts: DataFrame, k: int, numer:
     minors = rows.where("minor").groupBy("root").agg(F.ceil(F.count("*") / LEAF_DOCS).alias("minor_leaves"))
     rows = rows.join(minors, "root").withColumn("own", F.when(F.col("minor"), F.pmod(F.xxhash64("node", F.lit(2)), F.col("minor_leaves"))))
     # Cell (i, j): the i-th leaf of the minor documents against the j-th leaf of all.
-    everyone = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_leaves") - 1)).alias("i")).select("root", "i", F.col("leaf").alias("j"), "node", "doc_id", "h1", "part", F.col("minor") & (F.col("own") == F.col("i")))
-    own = rows.where("minor").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).select("root", F.col("own").alias("i"), "j", "node", "doc_id", "h1", "part", F.lit(True))
-    cells = everyone.unionAll(own).toDF("root", "i", "j", "node", "doc_id", "h1", "part", "minor")
-    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "doc_id", "h1", "part", F.coalesce("minor", F.lit(False)).alias("minor")), texts, k, numer, denom)
+    everyone = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_leaves") - 1)).alias("i")).select("root", "i", F.col("leaf").alias("j"), "node", "part", F.col("minor") & (F.col("own") == F.col("i")))
+    own = rows.where("minor").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).select("root", F.col("own").alias("i"), "j", "node", "part", F.lit(True))
+    cells = everyone.unionAll(own).toDF("root", "i", "j", "node", "part", "minor")
+    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "part", F.coalesce("minor", F.lit(False)).alias("minor")), folder, k, numer, denom)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, numer: int = 80, denom: int = 100) -> DataFrame:
