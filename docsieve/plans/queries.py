@@ -1,6 +1,318 @@
-"""Registered queries and their SQL."""
+"""Registered queries, and the SQL each must agree with.
+
+Queries read the Parquet tables of a folder.  XML and PDF operators have no such input
+among them, so their documents are made from relational rows inside the plan.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import filetype, language, pdf, text, xml
+from ..operators import bayes, categories, keyterms, segments, xpaths
+from ..sources import corpus, sinks
+from . import session
+from .sql import ORACLE_SQL  # noqa: F401
+
+STOP_WORDS = ("that", "with", "from", "this", "which", "hent", "ered")
+LEXICON = {"the": "DT", "of": "IN", "and": "CC", "that": "IN", "was": "VBD", "is": "VBZ", "are": "VBP", "with": "IN", "from": "IN", "tion": "NN", "thth": "JJ", "oner": "JJ", "hein": "VB", "thin": "VB", "reth": "RB", "inan": "NNS"}
+LEMMAS = (("inan", "noun", 1, "ina"), ("inan", "noun", 2, "inas"), ("thth", "adj", 1, "th"), ("hein", "verb", 1, "hei"), ("was", "verb", 1, "be"), ("reth", "adv", 1, "re"))
+WEIGHTS = (("tion", 0.02), ("oner", 0.004), ("thth", 0.001), ("hein", 0.0))
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", "text")
+
+
+def _lexicon(spark: SparkSession) -> DataFrame:
+    return corpus.mapping_table(spark, LEXICON, "token", "tag", "string")
+
+
+def _lemmas(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(LEMMAS), "token string, pos string, ord int, lemma string")
+
+
+def _tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select("doc_id", F.posexplode(text.tokenize(F.col("text"))).alias("pos", "token"))
+
+
+# ---------------------------------------------------------------- files
+def walk_file_info(spark, d):
+    return corpus.from_table(_docs(spark, d), "corpus", 0).select("corpusname", "startAt", "path", "name", "extension", "size")
+
+
+def filetype_detect(spark, d):
+    pages = table(spark, d, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    docs = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
+    both = pages.unionAll(docs)
+    return both.select("kind", "id", filetype.mime_of_text(F.col("text")).alias("mimetype"), text.tag_count(F.col("text")).cast("long").alias("tags"))
+
+
+def filetype_encoding(spark, d):
+    return _docs(spark, d).select("doc_id", filetype.encoding(F.col("text")).alias("encoding"))
+
+
+# ---------------------------------------------------------------- tokens and terms
+def token_stream(spark, d):
+    return _tokens(spark, d).select("doc_id", F.col("pos").cast("long").alias("pos"), "token")
+
+
+def token_count(spark, d):
+    return _docs(spark, d).select("doc_id", F.size(text.tokenize(F.col("text"))).cast("long").alias("n_tokens"))
+
+
+def token_sanitize(spark, d):
+    clean = text.sanitize(text.tokenize(F.col("text")), list(STOP_WORDS))
+    out = _docs(spark, d).select("doc_id", clean.alias("c"))
+    return out.select("doc_id", F.size("c").cast("long").alias("n_tokens"), F.size(F.filter("c", lambda t: t == text.SEPARATOR)).cast("long").alias("n_separators"))
+
+
+def tag_tokens(spark, d):
+    tagged = keyterms.tag(_tokens(spark, d), _lexicon(spark))
+    return tagged.groupBy("doc_id", "tag").agg(F.count("*").alias("n"))
+
+
+def lemmatize_tokens(spark, d):
+    rows = keyterms.lemmatize(keyterms.tag(_tokens(spark, d), _lexicon(spark)), _lemmas(spark))
+    return rows.groupBy("lemma", "pos_name").agg(F.count("*").alias("n"))
+
+
+def multiterm_runs(spark, d):
+    runs = text.runs(text.sanitize(text.tokenize(F.col("text")), list(STOP_WORDS)))
+    return _docs(spark, d).select("doc_id", F.explode(runs).alias("run")).where(F.instr("run", " ") > 0).groupBy("doc_id", "run").agg(F.count("*").alias("n"))
+
+
+def _resources(spark=None, dictionary=False) -> keyterms.Resources:
+    weights = spark.createDataFrame(list(WEIGHTS), "term string, weight double") if dictionary else None
+    return keyterms.Resources(STOP_WORDS, dictionary=weights)
+
+
+def keyterm_frequency(spark, d):
+    return keyterms.term_frequency(_docs(spark, d), _resources()).withColumn("strength", F.col("strength").cast("long"))
+
+
+def keyterm_specificity(spark, d):
+    out = keyterms.specificity(keyterms.term_frequency(_docs(spark, d), _resources()), _resources(spark, True).dictionary)
+    return out.select("doc_id", "term", F.round("probability", 8).alias("probability"), F.round("specificity", 8).alias("specificity"))
+
+
+def keyterm_ranking(spark, d):
+    out = keyterms.keywords(_docs(spark, d), _resources())
+    return out.select("doc_id", "term", "frequency", F.round("specificity", 8).alias("specificity"), F.col("rank").cast("long").alias("rank"))
+
+
+def keyterm_tagged_ranking(spark, d):
+    resources = keyterms.Resources(STOP_WORDS, lexicon=_lexicon(spark), lemmas=_lemmas(spark))
+    return keyterms.term_frequency(_docs(spark, d), resources).select("doc_id", "term", "frequency")
+
+
+def keyterm_stage_log(spark, d):
+    return keyterms.stage_log(_docs(spark, d), _resources())
+
+
+# ---------------------------------------------------------------- segmented documents
+def _segments(spark, d):
+    c = table(spark, d, "conversations")
+    parts = c.where("turn > 0").select(F.col("conv_id").alias("doc_id"), F.col("role").alias("segment"), F.col("turn").alias("ord"), "text")
+    titles = c.where("turn = 0").select(F.col("conv_id").alias("doc_id"), "text")
+    return parts, titles
+
+
+def segment_matrix(spark, d):
+    cells = segments.segment_terms(_segments(spark, d)[0], _resources())
+    return cells.select("doc_id", "segment", "term", "value")
+
+
+def segment_fmeasure(spark, d):
+    out = segments.f_measures(segments.segment_terms(_segments(spark, d)[0], _resources()))
+    return out.select("doc_id", "segment", "term", *[F.round(c, 8).alias(c) for c in ("fr", "fp", "ff", "mean")])
+
+
+def segment_keywords(spark, d):
+    parts, titles = _segments(spark, d)
+    out = segments.segment_keywords(parts, titles, _resources())
+    return out.select("doc_id", "term", F.size("segments").cast("long").alias("n_segments"), "total", F.round("factor", 6).alias("factor"))
+
+
+# ---------------------------------------------------------------- Bayes
+def _by_lang(spark, d):
+    return table(spark, d, "documents").select(F.col("lang").alias("pool"), "text")
+
+
+def bayes_counts(spark, d):
+    return bayes.train_counts(_by_lang(spark, d))
+
+
+def bayes_probs(spark, d):
+    return bayes.probabilities(bayes.train_counts(_by_lang(spark, d))).select("pool", "word", F.round("p", 8).alias("p"))
+
+
+def _scores(spark, d):
+    model = bayes.probabilities(bayes.train_counts(_by_lang(spark, d)))
+    return bayes.score(table(spark, d, "benchmark"), model, doc_id="item_id")
+
+
+def bayes_scores(spark, d):
+    return _scores(spark, d).select(F.col("doc_id").alias("item_id"), "pool", "n", F.round("score", 6).alias("score"))
+
+
+def bayes_guess(spark, d):
+    return bayes.guess(_scores(spark, d)).select(F.col("doc_id").alias("item_id"), "pool", F.round("score", 6).alias("score"))
+
+
+def bayes_cascade(spark, d):
+    docs = table(spark, d, "documents")
+    first = bayes.probabilities(bayes.train_counts(_by_lang(spark, d))).withColumn("training", F.lit("entry"))
+    english = docs.where("lang = 'en'").select(F.when(F.col("source") < "src5", "low").otherwise("high").alias("pool"), "text")
+    second = bayes.probabilities(bayes.train_counts(english)).withColumn("training", F.lit("en"))
+    labels = spark.createDataFrame([("en", "English"), ("low", "Low sources"), ("high", "High sources")], "code string, verbalization string")
+    out = bayes.cascade(table(spark, d, "benchmark"), first.unionByName(second), labels, depth=3, doc_id="item_id")
+    return out.select(F.col("doc_id").alias("item_id"), "level", "code", F.round("probability", 6).alias("probability"), "verbalization")
+
+
+# ---------------------------------------------------------------- languages
+def lang_detect(spark, d):
+    out = _docs(spark, d).select("doc_id", language.detect(F.col("text")).alias("l"))
+    first = F.try_element_at(F.col("l.languages"), F.lit(1))
+    return out.select("doc_id", F.col("l.reliable").alias("reliable"), first["code"].alias("code"), F.coalesce(first["percent"], F.lit(0)).alias("percent"))
+
+
+def lang_gate(spark, d):
+    return _docs(spark, d).select("doc_id", language.passes_gate(language.detect(F.col("text")), "en", 70).alias("passes"))
+
+
+# ---------------------------------------------------------------- categories
+def _categories(spark, d):
+    nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    path = F.array(F.array(F.struct(F.lit(1).alias("level"), F.col("r_name").alias("value")), F.struct(F.lit(2).alias("level"), F.col("n_name").alias("value"))))
+    tables = nation.select(F.lit("nation").alias("table_id"), F.col("n_nationkey").cast("string").alias("identifier"), path.alias("categories"))
+    supplier = table(spark, d, "supplier")
+    ids = supplier.select(F.col("s_suppkey").alias("doc_id"), F.lit(0).alias("ord"), F.lit("nation").alias("table_id"), F.when(F.col("s_suppkey") % 7 == 0, F.lit("")).when(F.col("s_suppkey") % 5 == 0, "none").otherwise(F.col("s_nationkey").cast("string")).alias("identifier"))
+    return categories.look_up(ids, tables)
+
+
+def category_lookup(spark, d):
+    each = _categories(spark, d).select("doc_id", F.explode(F.flatten("categories")).alias("c"))
+    return each.select(F.col("doc_id").alias("s_suppkey"), "c.level", "c.value")
+
+
+def category_abort(spark, d):
+    return _categories(spark, d).select(F.col("doc_id").alias("s_suppkey"), "missing", "matched")
+
+
+def config_match(spark, d):
+    names = table(spark, d, "customer").select(F.col("c_custkey"), F.lower("c_name").alias("corpusname"))
+    folders = table(spark, d, "region").select(F.format_string("%02d", "r_regionkey").alias("folder"))
+    return categories.match_folder(names, folders).select("c_custkey", "folder")
+
+
+# ---------------------------------------------------------------- XML
+def _escape(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _orders_xml(spark, d):
+    """A well-formed document per order, but for every seventh (cut off) and every eleventh (no XML)."""
+    o = table(spark, d, "orders")
+    body = F.concat(F.lit('<order id="'), F.col("o_orderkey"), F.lit('" xml:lang="en"><status>'), F.col("o_orderstatus"), F.lit("</status><price>"), F.floor("o_totalprice").cast("long"), F.lit("</price>"), F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("<prio>"), _escape(F.col("o_orderpriority")), F.lit("</prio>"))).otherwise(F.lit("<urgency/>")), F.lit("<cust><key>"), F.col("o_custkey"), F.lit("</key></cust></order>"))
+    head = F.lit('<!DOCTYPE order SYSTEM "order.dtd">')
+    doc = F.when(F.col("o_orderkey") % 11 == 0, "no markup").when(F.col("o_orderkey") % 7 == 0, F.concat(head, F.substring(body, F.lit(1), F.length(body) - 4))).otherwise(F.concat(head, body))
+    return o.select("o_orderkey", doc.alias("xml"))
+
+
+METADATA = [
+    {"name": "status", "type": "String", "xpath": "/order/status", "regex": "^[OF]$"},
+    {"name": "id", "type": "Attribute", "xpath": "/order/@id"},
+    {"name": "lang", "type": "Attribute", "xpath": "/order/@xml:lang"},
+    {"name": "price", "type": "Number", "xpath": "/order/price"},
+    {"name": "hasPrio", "type": "Boolean", "xpath": "/order/prio"},
+    {"name": "elements", "type": "Count", "xpath": "/order/*"},
+    {"name": "first", "type": "String", "xpath": ["/order/prio", "/order/cust/key"]},
+]
+
+
+def xml_metadata(spark, d):
+    docs = _orders_xml(spark, d).where(xml.is_well_formed(F.col("xml"))).select("o_orderkey", xml.strip_doctype(F.col("xml")).alias("x"))
+    return docs.select("o_orderkey", *xml.metadata(F.col("x"), METADATA))
+
+
+def xml_wellformed(spark, d):
+    docs = _orders_xml(spark, d)
+    return docs.select("o_orderkey", xml.is_well_formed(F.col("xml")).alias("isWellFormed"), (F.size(xml.parse_errors(F.col("xml"))) > 0).alias("hasErrors"), xml.doctype(F.col("xml"))["sysid"].alias("sysid"))
+
+
+DTD = '<!ELEMENT order (status, price, (prio | urgency), cust)><!ATTLIST order id CDATA #REQUIRED xml:lang CDATA #IMPLIED><!ELEMENT status (#PCDATA)><!ELEMENT price (#PCDATA)><!ELEMENT prio (#PCDATA)><!ELEMENT urgency EMPTY><!ELEMENT cust (key+)><!ELEMENT key (#PCDATA)>'
+
+
+def xml_dtd_validate(spark, d):
+    docs = _orders_xml(spark, d).where(xml.is_well_formed(F.col("xml")))
+    # Every fifth order loses its price.
+    seen = F.when(F.col("o_orderkey") % 5 == 0, F.regexp_replace("xml", "<price>.*</price>", "")).otherwise(F.col("xml"))
+    return docs.select("o_orderkey", (F.size(xml.dtd_errors(DTD)(xml.strip_doctype(seen))) == 0).alias("isValidAgainstDTD"))
+
+
+def css_select_text(spark, d):
+    docs = _orders_xml(spark, d).select("o_orderkey", xml.safe(F.col("xml")).alias("x"))
+    return docs.select("o_orderkey", F.coalesce(xml.select_text(F.col("x"), "order > cust key"), F.lit("")).alias("cust"), F.coalesce(xml.select_text(F.col("x"), 'order[xml:lang="en"] status'), F.lit("")).alias("status"))
+
+
+def _lines_xml(spark, d):
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(F.concat(F.lit('<line no="'), F.col("l_linenumber"), F.lit('"'), F.when(F.col("l_returnflag") == "R", F.lit(' returned="1"')).otherwise(""), F.lit("><qty>"), F.col("l_quantity").cast("long"), F.lit("</qty></line>"))), "").alias("lines"))
+    return lines.select(F.concat(F.lit("<order>"), F.col("lines"), F.lit("</order>")).alias("xml"))
+
+
+def xpath_inventory(spark, d):
+    return xpaths.inventory(_lines_xml(spark, d)).select("xpath", "countElement", F.array_join("attributes", ",").alias("attributes"))
+
+
+# ---------------------------------------------------------------- the rest
+def pdf_word_stats(spark, d):
+    pages = table(spark, d, "conversations").select("conv_id", pdf.page_words(F.col("text")).cast("long").alias("w"))
+    per = pages.groupBy("conv_id").agg(F.count("*").alias("pages"), F.sum("w").alias("words"))
+    return per.select("conv_id", "pages", "words", F.expr("words div pages").alias("words_by_page"))
+
+
+def error_log_rollup(spark, d):
+    e = table(spark, d, "events").withColumn("error", F.when(F.col("event_type") == "error", F.col("props")))
+    good, bad = session.split_errors(e)
+    both = good.select(F.lit("ok").alias("status"), "event_type").unionAll(bad.select(F.lit("error").alias("status"), "event_type"))
+    return both.groupBy("status", "event_type").agg(F.count("*").alias("n"))
+
+
+def bundle_batches(spark, d):
+    return session.bundles(_docs(spark, d).select("doc_id"), "doc_id", 64)
+
+
+def out_json(spark, d):
+    rec = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("lang"), F.col("source"), F.col("n_chars")))
+    docs = table(spark, d, "documents").select("doc_id", F.from_json(rec, "id long, lang string, source string, n_chars long").alias("r"))
+    return docs.select("doc_id", F.col("r.id").alias("id"), F.col("r.lang").alias("lang"), F.col("r.source").alias("source"), F.col("r.n_chars").alias("n_chars"))
+
+
+TEMPLATE = "<doc id='{{doc.id}}' lang='{{doc.lang}}'>{{#parts}}<p>{{.}}</p>{{/parts}}</doc>"
+
+
+def enrichment_render(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.struct(F.struct(F.col("doc_id").alias("id"), "lang").alias("doc"), F.array(F.col("source"), F.col("n_chars").cast("string")).alias("parts")).alias("data"))
+    return docs.select("doc_id", sinks.render(TEMPLATE, F.col("data")).alias("rendered"))
+
+
+def stem_words(spark, d):
+    words = _docs(spark, d).select(F.explode(text.tokenize(F.col("text"))).alias("token")).where("token != '#'").distinct()
+    return words.select("token", text.stem(F.col("token")).alias("stem"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        walk_file_info, filetype_detect, filetype_encoding, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
+        keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
+        bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, category_lookup, category_abort, config_match,
+        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, enrichment_render, stem_words,
+    )
+}
