@@ -21,14 +21,14 @@ CACHE = 250_000
 
 
 class SegmentEncoder:
-    """``encode(list of bytes)`` gives ids per segment; ``cuts(bytes, offsets)`` marks bytes that begin a segment."""
+    """``encode(list of bytes)`` gives each segment's ids as bytes of ``dtype``; ``cuts(bytes, offsets)`` marks bytes that begin a segment."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[np.ndarray]], cuts: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype, cache: int = CACHE):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], cuts: Callable[[np.ndarray, np.ndarray], np.ndarray], dtype, cache: int = CACHE):
         self.encode, self.cuts, self.dtype, self.cache = encode, cuts, dtype, cache
-        self.new: dict[bytes, np.ndarray] = {}
-        self.old: dict[bytes, np.ndarray] = {}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def _known(self, segments: list[bytes]) -> list[np.ndarray]:
+    def _known(self, segments: list[bytes]) -> list[bytes]:
         out: list = [None] * len(segments)
         todo = []
         for i, s in enumerate(segments):
@@ -65,13 +65,20 @@ class SegmentEncoder:
             inverse = inverse.reshape(-1)
         data = raw.tobytes()
         parts = self._known([data[s:e] for s, e in zip(start[first].tolist(), end[first].tolist())])
-        size = np.fromiter((len(p) for p in parts), np.int64, len(parts))
-        flat = np.concatenate(parts) if parts else np.zeros(0, self.dtype)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(b"".join(parts), self.dtype)
         at = np.concatenate([[0], np.cumsum(size)[:-1]])
         n = size[inverse]
         cum = np.concatenate([[0], np.cumsum(n)])
         take = np.arange(cum[-1]) + np.repeat(at[inverse] - cum[:-1], n)
-        return flat[take].astype(self.dtype, copy=False), cum[np.searchsorted(start, offsets)]
+        return flat[take], cum[np.searchsorted(start, offsets)]
+
+    @staticmethod
+    def split(ids: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """The bytes of consecutive runs of ids."""
+        raw, width = ids.tobytes(), ids.dtype.itemsize
+        ends = (np.cumsum(size) * width).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
     @staticmethod
     def _hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:

@@ -30,7 +30,7 @@ from ._segments import SegmentEncoder
 from ._util import chunks, column, keyed, read_table
 
 _SPACE = "▁"
-_BLOCK = 1 << 20
+_BLOCK = 2 << 20
 _LONG = 48  # characters from which a segment is merged with a heap of its own
 _models: dict[str, "PieceModel"] = {}
 
@@ -160,9 +160,9 @@ class PieceModel:
         by = np.argsort(start, kind="stable")
         return start[by], length[by], piece[by]
 
-    def _encode(self, segments: list[bytes]) -> list[np.ndarray]:
+    def _encode(self, segments: list[bytes]) -> list[bytes]:
         texts = [s.decode().replace(" ", _SPACE) for s in segments]
-        out: list[np.ndarray] = []
+        out: list[bytes] = []
         i = 0
         while i < len(texts):  # blocks of bounded size; one segment may exceed it alone
             j, size = i, 0
@@ -173,7 +173,7 @@ class PieceModel:
             i = j
         return out
 
-    def _block(self, texts: list[str]) -> list[np.ndarray]:
+    def _block(self, texts: list[str]) -> list[bytes]:
         size = np.array([len(t) for t in texts])
         # A character of its own kind ends each segment, so no match leaves one.
         joined = np.frombuffer("\0".join(texts).encode("utf-32-le") + b"\0\0\0\0", "<u4").astype(np.int64)
@@ -187,7 +187,10 @@ class PieceModel:
             spans = self._merge(joined, first, size, start, length, piece, one)
         else:
             spans = self._shortest(first, size, start, length, piece, one)
-        return [self._ids(joined, spans[0][a:b], spans[1][a:b]) for a, b in zip(*_bounds(spans[0], first, size))]
+        low, high = np.searchsorted(spans[0], first), np.searchsorted(spans[0], first + size)
+        if (spans[1] >= 0).all():
+            return SegmentEncoder.split(spans[1].astype(np.int32), high - low)
+        return [self._ids(joined, spans[0][a:b], spans[1][a:b]).tobytes() for a, b in zip(low, high)]
 
     def _ids(self, text: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
         if (ids >= 0).all():
@@ -293,10 +296,6 @@ class PieceModel:
         return raw.decode(errors="replace")
 
 
-def _bounds(at: np.ndarray, first: np.ndarray, size: np.ndarray):
-    return np.searchsorted(at, first), np.searchsorted(at, first + size)
-
-
 def _suffixes(code: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in order of their first ``depth`` symbols (at least), by prefix doubling."""
     n, k, rank = len(code), 1, code

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from ._util import RangeReader, chunks, column, input_bytes, materialise, new_fo
 from ._words import U, mix
 
 END_ID = 2
-_BLOCK = 1 << 20
+_BLOCK = 2 << 20
 BUCKET_KEYS = 1 << 20
 _encoders: dict[str, SegmentEncoder] = {}
 
@@ -73,11 +74,12 @@ def byte_bpe(path: str) -> tuple[SegmentEncoder, int]:
         size = t.get_vocab_size()
         dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
 
-        def encode(segments: list[bytes]) -> list[np.ndarray]:
-            out: list[np.ndarray] = []
+        def encode(segments: list[bytes]) -> list[bytes]:
+            out: list[bytes] = []
             for i in range(0, len(segments), 4096):
-                part = [s.decode() for s in segments[i : i + 4096]]
-                out += [np.array(e.ids, dtype) for e in t.encode_batch_fast(part, add_special_tokens=False)]
+                ids = [e.ids for e in t.encode_batch_fast([s.decode() for s in segments[i : i + 4096]], add_special_tokens=False)]
+                size = np.fromiter(map(len, ids), np.int64, len(ids))
+                out += SegmentEncoder.split(np.fromiter(chain.from_iterable(ids), dtype, int(size.sum())), size)
             return out
 
         _encoders[path] = SegmentEncoder(encode, _byte_level_cuts, dtype)
