@@ -25,8 +25,17 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table of fewer files than there are cores, dealt out to all cores; others as they are.
+
+    Texts are costly to analyse and a file of one row group is read by one task; with as
+    many files as cores the scan is parallel by itself and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _lexicon(spark: SparkSession) -> DataFrame:
@@ -117,7 +126,7 @@ def keyterm_stage_log(spark, d):
 
 # ---------------------------------------------------------------- segmented documents
 def _segments(spark, d):
-    c = table(spark, d, "conversations")
+    c = spread(table(spark, d, "conversations"))
     parts = c.where("turn > 0").select(F.col("conv_id").alias("doc_id"), F.col("role").alias("segment"), F.col("turn").alias("ord"), "text")
     titles = c.where("turn = 0").select(F.col("conv_id").alias("doc_id"), "text")
     return parts, titles
@@ -141,7 +150,7 @@ def segment_keywords(spark, d):
 
 # ---------------------------------------------------------------- Bayes
 def _by_lang(spark, d):
-    return table(spark, d, "documents").select(F.col("lang").alias("pool"), "text")
+    return spread(table(spark, d, "documents").select(F.col("lang").alias("pool"), "text"))
 
 
 def bayes_counts(spark, d):
@@ -218,7 +227,7 @@ def _escape(c):
 
 def _orders_xml(spark, d):
     """A well-formed document per order, but for every seventh (cut off) and every eleventh (no XML)."""
-    o = table(spark, d, "orders")
+    o = spread(table(spark, d, "orders"))
     body = F.concat(F.lit('<order id="'), F.col("o_orderkey"), F.lit('" xml:lang="en"><status>'), F.col("o_orderstatus"), F.lit("</status><price>"), F.floor("o_totalprice").cast("long"), F.lit("</price>"), F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("<prio>"), _escape(F.col("o_orderpriority")), F.lit("</prio>"))).otherwise(F.lit("<urgency/>")), F.lit("<cust><key>"), F.col("o_custkey"), F.lit("</key></cust></order>"))
     head = F.lit('<!DOCTYPE order SYSTEM "order.dtd">')
     doc = F.when(F.col("o_orderkey") % 11 == 0, "no markup").when(F.col("o_orderkey") % 7 == 0, F.concat(head, F.substring(body, F.lit(1), F.length(body) - 4))).otherwise(F.concat(head, body))
@@ -237,8 +246,8 @@ METADATA = [
 
 
 def xml_metadata(spark, d):
-    docs = _orders_xml(spark, d).where(xml.is_well_formed(F.col("xml"))).select("o_orderkey", xml.strip_doctype(F.col("xml")).alias("x"))
-    return docs.select("o_orderkey", *xml.metadata(F.col("x"), METADATA))
+    docs = _orders_xml(spark, d).select("o_orderkey", xml.safe(F.col("xml")).alias("x")).where("x is not null")
+    return xml.with_metadata(docs, "x", METADATA).drop("x")
 
 
 def xml_wellformed(spark, d):

@@ -122,7 +122,7 @@ def _keyterms(docs: DataFrame, config: SessionConfig) -> DataFrame:
 def _categories(docs: DataFrame, config: SessionConfig) -> DataFrame:
     if config.category_tables is None or not config.categorizations or "isWellFormed" not in docs.columns:
         return docs
-    seen = F.when(F.col("isWellFormed"), xml.strip_doctype(F.col("text")))
+    seen = xml.safe(F.col("text"))
     each = None
     for i, c in enumerate(config.categorizations):
         rows = docs.where("isWellFormed").select(F.col("path").alias("doc_id"), F.lit(i).alias("ord"), F.lit(c["id"]).alias("table_id"), xml.select_text(seen, c["identifier"]).alias("identifier"))
