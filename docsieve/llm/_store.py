@@ -17,11 +17,10 @@ from ._util import RangeReader, chunks, column, write_file
 NO_ID = (1 << 63) - 1
 
 
-def _pack_rows(col: pa.Array, ids: np.ndarray) -> bytes:
+def _pack(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    batch = pa.record_batch({"id": pa.array(ids, pa.int64()), "text": col.cast(pa.large_string())})
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
     return zstandard.ZstdCompressor(level=3).compress(sink.getvalue().to_pybytes())
 
 
@@ -36,12 +35,18 @@ class Store:
         self.first, self.offset, self.length = table[:, 0], table[:, 1], table[:, 2]
         self.block, self.rows = -1, None
 
-    def get(self, row: int) -> pa.RecordBatch:
-        b = int(np.searchsorted(self.first, row, side="right")) - 1
+    def block_of(self, row: int) -> int:
+        return int(np.searchsorted(self.first, row, side="right")) - 1
+
+    def load(self, b: int) -> pa.RecordBatch:
         if b != self.block:
             raw = zstandard.ZstdDecompressor().decompress(self.file.read(int(self.offset[b]), int(self.length[b])))
             self.rows, self.block = pa.ipc.open_stream(raw).read_next_batch(), b
-        return self.rows.slice(row - int(self.first[b]), 1)
+        return self.rows
+
+    def get(self, row: int) -> pa.RecordBatch:
+        b = self.block_of(row)
+        return self.load(b).slice(row - int(self.first[b]), 1)
 
     def close(self) -> None:
         self.file.__exit__()
@@ -77,9 +82,30 @@ def visits(it: Iterator[pa.RecordBatch], folder: str, name: str = "rid"):
         store.close()
 
 
-def write(it: Iterator[pa.RecordBatch], folder: str, of: Callable[[pa.Array, pa.Array, np.ndarray], dict]) -> Iterator[pa.RecordBatch]:
-    """In a scan task over (doc_id long, text): writes its store file, then yields rid, doc_id and
-    the columns that ``of(ids, texts, rids)`` gives, block by block."""
+def take(it: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """Batches of sorted distinct ``rid`` -> (row numbers, their whole rows), block by block."""
+    store, part = None, None
+    for batch in it:
+        rids = np.asarray(column(batch, "rid"))
+        while len(rids):
+            if rids[0] >> 33 != part:
+                if store is not None:
+                    store.close()
+                part = int(rids[0] >> 33)
+                store = Store(folder, part)
+            b = store.block_of(int(rids[0]) & ((1 << 33) - 1))
+            rows = store.load(b)
+            begin = (part << 33) + int(store.first[b])
+            n = int(np.searchsorted(rids, begin + rows.num_rows))
+            yield rids[:n], rows.take(pa.array(rids[:n] - begin))
+            rids = rids[n:]
+    if store is not None:
+        store.close()
+
+
+def write(it: Iterator[pa.RecordBatch], folder: str, of: Callable[[pa.Array], dict], doc_id: str = "doc_id", text: str = "text") -> Iterator[pa.RecordBatch]:
+    """In a scan task: writes its store file (whole rows), then yields rid, doc_id and the
+    columns that ``of(texts)`` gives, block by block."""
     from pyspark import TaskContext
 
     part, out, row, index, at = TaskContext.get().partitionId(), [], 0, [], 0
@@ -87,11 +113,10 @@ def write(it: Iterator[pa.RecordBatch], folder: str, of: Callable[[pa.Array, pa.
     def frames():
         nonlocal row, at
         for batch in it:
-            for piece, col in chunks(batch, "text"):
-                ids = column(piece, "doc_id")
-                frame = _pack_rows(col, np.asarray(ids.fill_null(NO_ID)))
+            for piece, col in chunks(batch, text):
+                frame = _pack(piece)
                 rid = np.arange(row, row + len(col)) + (part << 33)
-                out.append(pa.record_batch({"rid": pa.array(rid, pa.int64()), "doc_id": ids} | of(ids, col, rid)))
+                out.append(pa.record_batch({"rid": pa.array(rid, pa.int64()), "doc_id": column(piece, doc_id).cast(pa.int64())} | of(col)))
                 index.append((row, at, len(frame)))
                 row, at = row + len(col), at + len(frame)
                 yield frame

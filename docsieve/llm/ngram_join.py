@@ -6,7 +6,7 @@ documents link when |A & B| / |A | B| >= ``numer`` / ``denom``.
 
 1.  Equal sets (two 64-bit set hashes and the size) become one node, so copies cost
     one row each.
-2.  Shingles are hashed into groups; a set's group counts are a point.  The linked
+2.  The rows are kept in a compressed store.  Shingles are hashed into groups; a set's group counts are a point.  The linked
     sizes (a, b) differ by at most D = (a + b)(1 - t) / (1 + t) shingles, and the
     distance of two points is at most that, so of D + 2 blocks of coordinates two
     points agree in two blocks at least.  The points are dealt out by (size band, block,
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,46 +116,97 @@ def cell_keys(s: np.ndarray, ends: list[int], numer: int, denom: int) -> np.ndar
     return np.concatenate(out).view(np.int64)
 
 
-def features(docs: DataFrame, doc_id: str, text: str, k: int, numer: int, denom: int, folder: str) -> DataFrame:
-    """Writes the text store; rid, doc_id, n, h1, h2 and the cell keys of every row."""
-    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+def features(docs: DataFrame, doc_id: str, text: str, k: int, folder: str) -> DataFrame:
+    """Writes the store; rid, doc_id, set size n and set hashes h1, h2 of every row."""
 
-    def of(_: pa.Array, col: pa.Array, __: np.ndarray) -> dict:
+    def of(col: pa.Array) -> dict:
         sets = shingle_sets(col, k)
-        ends = _bands(max([1 << 10, *(len(s) for s in sets)]) * 2, numer, denom)
         hashes = [_set_hash(s) for s in sets]
-        keys = [cell_keys(s, ends, numer, denom) for s in sets]
-        cut = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
-        return {
-            "n": pa.array([len(s) for s in sets], pa.int64()),
-            "h1": pa.array([h[0] for h in hashes], pa.int64()),
-            "h2": pa.array([h[1] for h in hashes], pa.int64()),
-            "keys": pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(keys), pa.int64())),
-        }
+        return {"n": pa.array([len(s) for s in sets], pa.int64()), "h1": pa.array([h[0] for h in hashes], pa.int64()), "h2": pa.array([h[1] for h in hashes], pa.int64())}
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _store.write(it, folder, of)
+        return _store.write(it, folder, of, doc_id, text)
 
-    return docs.mapInArrow(run, "rid long, doc_id long, n long, h1 long, h2 long, keys array<long>")
+    return docs.mapInArrow(run, "rid long, doc_id long, n long, h1 long, h2 long")
+
+
+def _deal(folder: str, text: str, k: int, numer: int, denom: int, parts: int):
+    """Sorted row numbers -> (part, blob): the cell keys of their sets, 40 bits each, sorted,
+    as differences beside the row numbers, compressed - a quarter of plain rows."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        nodes: list[np.ndarray] = []
+        held = 0
+        for rids, rows in _store.take(it, folder):
+            for part, col in chunks(rows, text):
+                sets = shingle_sets(col, k)
+                ends = _bands(max([1 << 10, *(len(s) for s in sets)]) * 2, numer, denom)
+                for s, rid in zip(sets, rids.tolist()):
+                    keys.append(cell_keys(s, ends, numer, denom).view(U) >> U(24))
+                    nodes.append(np.full(len(keys[-1]), rid, np.int64))
+                    held += len(keys[-1])
+                rids = rids[len(sets) :]
+                if held > 1 << 20:
+                    yield _blobs(np.concatenate(keys), np.concatenate(nodes), parts)
+                    keys, nodes, held = [], [], 0
+        if held:
+            yield _blobs(np.concatenate(keys), np.concatenate(nodes), parts)
+
+    return run
+
+
+def _blobs(keys: np.ndarray, nodes: np.ndarray, parts: int) -> pa.RecordBatch:
+    part, local = (keys % U(parts)).astype(np.int64), keys // U(parts)
+    order = np.lexsort((nodes, local, part))
+    part, local, nodes = part[order], local[order], nodes[order]
+    cut = np.searchsorted(part, np.arange(parts + 1))
+    which, blobs = [], []
+    for p in np.flatnonzero(np.diff(cut)).tolist():
+        one, own = local[cut[p] : cut[p + 1]], nodes[cut[p] : cut[p + 1]]
+        steps = np.diff(one, prepend=U(0))
+        low = int(own.min())
+        wide = int(steps.max()) >= 1 << 32, int(own.max()) - low >= 1 << 32
+        head = np.array([len(one), low, *wide], "<i8").tobytes()
+        body = steps.astype("<u8" if wide[0] else "<u4").tobytes() + (own - low).astype("<u8" if wide[1] else "<u4").tobytes()
+        which.append(p)
+        blobs.append(head + zstandard.ZstdCompressor(level=1).compress(body))
+    return pa.record_batch({"part": pa.array(which, pa.int64()), "blob": pa.array(blobs, pa.binary())})
+
+
+def _open_blob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, low, wide_step, wide_node = np.frombuffer(blob, "<i8", 4).tolist()
+    body = zstandard.ZstdDecompressor().decompress(blob[32:])
+    steps = np.frombuffer(body, "<u8" if wide_step else "<u4", n)
+    nodes = np.frombuffer(body, "<u8" if wide_node else "<u4", n, steps.nbytes)
+    return np.cumsum(steps.astype(U)), nodes.astype(np.int64) + low
 
 
 def _ties(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (key, node) sorted by both: (first node of the key, node) for the others."""
-    last_key = last_first = None
-    for batch in it:
-        key, node = np.asarray(column(batch, "key")), np.asarray(column(batch, "node"))
-        if not len(key):
-            continue
+    """(part, blob) sorted by part -> ties of every node to the first of its cell."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    current = None
+
+    def tie() -> pa.RecordBatch:
+        key = np.concatenate([k for k, _ in held])
+        node = np.concatenate([n for _, n in held])
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
-        new[0] = last_key is None or key[0] != last_key
-        at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-        first = np.where(at >= 0, node[np.maximum(at, 0)], last_first if last_first is not None else 0)
-        last_key, last_first = key[-1], first[-1]
-        tie = first != node
-        if tie.any():
-            pairs = np.unique(np.stack([first[tie], node[tie]], 1), axis=0)
-            yield pa.record_batch({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+        first = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        pairs = np.unique(np.stack([first, node], 1)[first != node], axis=0)
+        return pa.record_batch({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    for batch in it:
+        for part, blob in zip(column(batch, "part").to_pylist(), column(batch, "blob")):
+            if held and part != current:
+                yield tie()
+                held = []
+            current = part
+            held.append(_open_blob(blob.as_py()))
+    if held:
+        yield tie()
 
 
 # ---------------------------------------------------------------- verification within a task
@@ -266,37 +318,42 @@ def _verify(k: int, numer: int, denom: int):
     return run
 
 
-def _fetch(folder: str):
+def _fetch(folder: str, text: str):
     """Members sorted by node get their texts, in the order of the store."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, row, batches in _store.visits(it, folder, "node"):
             for b in batches:
-                text = pa.chunked_array([row.column(1)] * b.num_rows).combine_chunks()
-                yield pa.RecordBatch.from_arrays([*b.columns, text.cast(pa.string())], names=[*b.schema.names, "text"])
+                texts = pa.chunked_array([column(row, text)] * b.num_rows).combine_chunks()
+                yield pa.RecordBatch.from_arrays([*b.columns, texts.cast(pa.string())], names=[*b.schema.names, "text"])
 
     return run
 
 
-def _cells(members: DataFrame, folder: str, k: int, numer: int, denom: int) -> DataFrame:
+def _cells(members: DataFrame, folder: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
     """members: cell, node, part, minor.  A node is the number of its row in the store."""
     cell = "cell struct<root:long,i:long,j:long>, node long, part long, minor boolean"
     placed = members.select(F.struct(F.col("cell.root").alias("root"), F.col("cell.i").cast("long").alias("i"), F.col("cell.j").cast("long").alias("j")).alias("cell"), "node", "part", "minor")
-    rows = placed.repartition(F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder), f"{cell}, text string")
+    rows = placed.repartition(F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder, text), f"{cell}, text string")
     return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_verify(k, numer, denom), "a long, b long")
 
 
 # ---------------------------------------------------------------- the join
-def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, numer: int = NUMER, denom: int = DENOM) -> DataFrame:
-    """doc_id, n_shingles, component_id, node per row of ``docs``; rows of one node have equal sets."""
-    folder = new_folder(docs.sparkSession, "texts")
-    f = materialise(features(docs, doc_id, text, k, numer, denom, folder), "sets")
-    reps = f.groupBy("n", "h1", "h2").agg(F.min("rid").alias("node"))
-    reps = materialise(reps, "set-nodes")
+#: keys that meet in one task when cells are looked at
+PART_KEYS = 2 << 20
+
+
+def _members(docs: DataFrame, folder: str, doc_id: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
+    """rid, doc_id, n, node, component_id per row of ``docs``, whose rows are kept in the store."""
+    f = materialise(features(docs, doc_id, text, k, folder), "sets")
+    reps = materialise(f.groupBy("n", "h1", "h2").agg(F.min("rid").alias("node")), "set-nodes")
     # 2, 3: cells and ties
-    keys = f.select("rid", "keys").where(F.size("keys") > 0).join(reps.select(F.col("node").alias("rid")).hint("merge"), "rid", "left_semi")
-    dealt = keys.select(F.explode("keys").alias("key"), F.col("rid").alias("node"))
-    ties = dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_ties, "a long, b long")
+    least = _bands(1, numer, denom)[0]
+    volume = reps.where(F.col("n") >= least).agg(F.sum("n")).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // (2 * PART_KEYS)))
+    rids = reps.where(F.col("n") >= least).select(F.col("node").alias("rid"))
+    blobs = rids.repartition(F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(_deal(folder, text, k, numer, denom, parts), "part long, blob binary")
+    ties = blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_ties, "a long, b long")
     tied = components(ties)
     tied = materialise(tied.join(reps.select("node", "n"), "node").select("node", "root", "n"), "tied")
     # 4: leaves of bounded size; a root of one leaf is a whole component
@@ -309,20 +366,27 @@ def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pivots = pivots.where(F.pmod(F.xxhash64("node", F.lit(1)), F.greatest(F.col("leaves") / PIVOTS, F.lit(1)).cast("long")) == 0)
     shared = pivots.select("root", "node", "leaf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).where("j != leaf")
     shared = shared.select(F.struct("root", F.lit(-1).cast("long").alias("i"), F.col("j")).alias("cell"), "node").withColumns(no)
-    linked = materialise(_cells(whole.unionByName(shared), folder, k, numer, denom), "links")
+    linked = materialise(_cells(whole.unionByName(shared), folder, text, k, numer, denom), "links")
     if large.limit(1).count():
-        linked = linked.unionByName(materialise(_rest(large, linked, folder, k, numer, denom), "links"))
+        linked = linked.unionByName(materialise(_rest(large, linked, folder, text, k, numer, denom), "links"))
     roots = components(linked)
     # Every row: its node, the node's component, the smallest id in it.
     rows = f.select("doc_id", "n", "h1", "h2", "rid").join(reps.select("n", "h1", "h2", "node"), ["n", "h1", "h2"])
     rows = rows.withColumn("node", F.when(F.col("n") == 0, F.col("rid")).otherwise(F.col("node")))
     rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = materialise(rows.select("doc_id", "n", "node", "root"), "members")
-    ids = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return least.join(ids, "root").select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "node")
+    rows = materialise(rows.select("rid", "doc_id", "n", "node", "root"), "members")
+    ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(ids, "root").select("rid", "doc_id", "n", "node", "component_id")
 
 
-def _rest(large: DataFrame, linked: DataFrame, folder: str, k: int, numer: int, denom: int) -> DataFrame:
+def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, numer: int = NUMER, denom: int = DENOM) -> DataFrame:
+    """doc_id, n_shingles, component_id, node per row of ``docs``; rows of one node have equal sets."""
+    docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias(doc_id), F.col(f"`{text}`").alias(text))
+    out = _members(docs, new_folder(docs.sparkSession, "texts"), doc_id, text, k, numer, denom)
+    return out.select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "node")
+
+
+def _rest(large: DataFrame, linked: DataFrame, folder: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
     """Links of documents outside the largest linked part of a large component."""
     part = components(linked).select("node", F.col("root").alias("part"))
     rows = large.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
@@ -335,7 +399,7 @@ def _rest(large: DataFrame, linked: DataFrame, folder: str, k: int, numer: int,
     everyone = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_leaves") - 1)).alias("i")).select("root", "i", F.col("leaf").alias("j"), "node", "part", F.col("minor") & (F.col("own") == F.col("i")))
     own = rows.where("minor").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).select("root", F.col("own").alias("i"), "j", "node", "part", F.lit(True))
     cells = everyone.unionAll(own).toDF("root", "i", "j", "node", "part", "minor")
-    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "part", F.coalesce("minor", F.lit(False)).alias("minor")), folder, k, numer, denom)
+    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "part", F.coalesce("minor", F.lit(False)).alias("minor")), folder, text, k, numer, denom)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, numer: int = 80, denom: int = 100) -> DataFrame:
@@ -343,9 +407,16 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
 
     Rows that repeat the smallest id of a group with an equal set all stay.
     """
-    found = link_components(docs, doc_id, text, k, numer, denom)
-    gone = found.where(~F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("__gone")).where("__gone is not null").distinct()
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("__gone"), "left_anti")
+    folder = new_folder(docs.sparkSession, "rows")
+    found = _members(docs, folder, doc_id, text, k, numer, denom)
+    stay = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("rid")
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, kept in _store.take(it, folder):
+            yield kept
+
+    # Whole rows come back from the store, so the documents are never shuffled.
+    return stay.repartition(F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(rows, docs.schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

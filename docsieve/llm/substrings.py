@@ -92,7 +92,7 @@ def store_and_scan(docs: DataFrame, doc_id: str, text: str, folder: str, window:
     """Writes the store; per document rid, doc_id, n_words, the digest of all words, distinct anchors."""
     docs = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
 
-    def of(ids: pa.Array, col: pa.Array, rid: np.ndarray) -> dict:
+    def of(col: pa.Array) -> dict:
         w = Words(col, NOT_SPACE, lower=False)
         where, h = anchors(w, gram, window)
         cut = np.searchsorted(where, w.rows)
@@ -116,6 +116,7 @@ def _runs(folder: str, window: int, gram: int):
         for rid, row, batches in _store.visits(it, folder):
             repeated = np.concatenate([np.asarray(column(b, "anchor")) for b in batches]).view(U)
             doc, col = row.column(0)[0].as_py(), row.column(1)
+            doc = _store.NO_ID if doc is None else doc
             w = Words(col, NOT_SPACE, lower=False, hashes=2)
             starts = np.arange(len(w.start) - window + 1)
             good = np.isin(_window_minima(w, gram, window)[1][: len(starts)], repeated)
