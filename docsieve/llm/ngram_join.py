@@ -334,7 +334,9 @@ def _cells(members: DataFrame, folder: str, text: str, k: int, numer: int, denom
     """members: cell, node, part, minor.  A node is the number of its row in the store."""
     cell = "cell struct<root:long,i:long,j:long>, node long, part long, minor boolean"
     placed = members.select(F.struct(F.col("cell.root").alias("root"), F.col("cell.i").cast("long").alias("i"), F.col("cell.j").cast("long").alias("j")).alias("cell"), "node", "part", "minor")
-    rows = placed.repartition(F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder, text), f"{cell}, text string")
+    # Row numbers are narrow, reading what they stand for is not: a set count keeps tasks apart.
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = placed.repartition(n, F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder, text), f"{cell}, text string")
     return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_verify(k, numer, denom), "a long, b long")
 
 
@@ -352,7 +354,7 @@ def _members(docs: DataFrame, folder: str, doc_id: str, text: str, k: int, numer
     volume = reps.where(F.col("n") >= least).agg(F.sum("n")).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // (2 * PART_KEYS)))
     rids = reps.where(F.col("n") >= least).select(F.col("node").alias("rid"))
-    blobs = rids.repartition(F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(_deal(folder, text, k, numer, denom, parts), "part long, blob binary")
+    blobs = rids.repartition(parts, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(_deal(folder, text, k, numer, denom, parts), "part long, blob binary")
     ties = blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_ties, "a long, b long")
     tied = components(ties)
     tied = materialise(tied.join(reps.select("node", "n"), "node").select("node", "root", "n"), "tied")
@@ -416,7 +418,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
             yield kept
 
     # Whole rows come back from the store, so the documents are never shuffled.
-    return stay.repartition(F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(rows, docs.schema)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stay.repartition(n, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(rows, docs.schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
