@@ -14,7 +14,9 @@ ids are at most ``TARGET_ROWS`` labelled rows, chosen by hash.
 
 Defined cases: a null text has no n-grams and weight 0; null ids draw one common
 variate; rows with equal id and text tie and are taken in any order (they are equal in
-the result); with no target rows all weights are 0; k is the rounded share of all rows.
+the result); k is the rounded share of all rows, by default the share of good ids among
+the labelled ones (a label that leaves it open counts for neither); with no target rows
+all weights are 0 and, by default, every row is selected.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ from ._words import ALNUM_LOW, U, Words, mix
 
 BUCKETS = 1 << 17
 TARGET_ROWS = 100_000
-SHARE = 0.9
 SCALE = 200.0
 SHRINK = 20
 LEAN = 5.0
@@ -126,8 +127,15 @@ def top_k(rows: DataFrame, key: str, k: int, tie: list[str]) -> DataFrame:
     return rows.where(F.col("__k") != prefix).withColumn("selected", F.col("__k") > prefix).unionByName(ties).drop("__k")
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
-    """The scores of every document with ``selected``, true for round(share * rows) of them."""
+def good_share(labels: DataFrame) -> float:
+    """The share of good ids among the labelled ones; 1 if none is good, as nothing can be told apart then."""
+    per = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long")).agg(F.max(F.expr("quality = 1 and toxic = 0")).alias("good"))
+    return per.agg(F.avg(F.col("good").cast("int"))).first()[0] or 1.0
+
+
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """The scores of every document with ``selected``, true for round(share * rows) of them (``good_share``, if None)."""
+    share = good_share(labels) if share is None else share
     rows = materialise(score(docs, labels, doc_id, text, **parameters), "weights")
     return top_k(rows, "key", round(share * rows.count()), [doc_id, "n_grams"])
 

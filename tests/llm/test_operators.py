@@ -324,3 +324,17 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert resample.resample(e, labels).count() == 0
     assert shards.assign(e, [shards.bucket(F.col("lang"))], [F.col("doc_id")], [F.col("doc_id")]).count() == 0
+
+
+def test_share_comes_from_labels(spark):
+    rng = random.Random(6)
+    good = [(i, prose(rng, 80)) for i in range(120)]
+    bad = [(1000 + i, " ".join(rng.choice(["spam", "buy", "click", "free"]) for _ in range(80))) for i in range(80)]
+    labelled = [(d, 1, 0) for d, _ in good[:60]] + [(d, d % 2, 1 if d % 2 else 0) for d, _ in bad[:40]]
+    odd = [(0, 1, 0), (None, 0, 1), (100, None, 0)]
+    labels = spark.createDataFrame([*labelled, *odd], "doc_id long, quality int, toxic int")
+    assert resample.good_share(labels) == 0.6
+    chosen = {r.doc_id for r in resample.resample(frame(spark, [*good, *bad]), labels).where("selected").collect()}
+    assert len(chosen) == 120
+    assert sum(d in chosen for d, _ in bad[40:]) <= 4 and sum(d in chosen for d, _ in good[60:]) >= 56
+    assert resample.good_share(labels.where("quality = 0")) == resample.good_share(labels.where("quality = 7")) == 1.0

@@ -97,3 +97,21 @@ def test_contract_queries(spark):
     assert QUERIES["op9_pieces"](spark, SF).where("round_trip").count() == len(docs)
     assert QUERIES["op10_quality_resampling"](spark, SF).count() == len(docs)
     assert QUERIES["op1_token_files"](spark, SF).count() == len(docs)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are absent")
+def test_resampling_of_labelled_documents(spark):
+    """Recall of bad documents and loss of clean ones; the second time by labels the target never saw."""
+    from docsieve.llm import resample
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    found = []
+    for seen, judged in ((labels, labels), (labels.where(half), labels.where(~half))):
+        out = resample.resample(docs, seen).join(judged, "doc_id")
+        kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").otherwise("clean")
+        found.append({r[0]: r[1] for r in out.groupBy(kind).agg(F.avg((~F.col("selected")).cast("int"))).collect()})
+    print(found)
+    own, unseen = found
+    assert own["toxic"] > 0.6 and own["low"] > 0.6 and own["clean"] < 0.02
+    assert unseen["toxic"] > 0.5 and unseen["low"] > 0.45 and unseen["clean"] < 0.2
