@@ -46,6 +46,18 @@ class Rule:
         return re.compile(self.pattern, re.ASCII | (re.IGNORECASE if self.any_case else 0))
 
 
+def _private_key() -> str:
+    """A PEM or PGP private key up to its END line; where that is missing, to the end of its base64 run."""
+    name = r"[A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+    to_end = rf"[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END {name}"
+    headers = r"(?:\r?\n(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID):[^\r\n]*+)*+"
+    # Line breaks may be escaped, lines quoted and joined; a short line counts where it stands alone.
+    between = r"""(?:[\s"'>|,]|\\[rnt]|\\(?=\r?\n)|\+(?=\s))++"""
+    alone = r"""(?:(?<=\n)|(?<=\\n))[A-Za-z0-9+/]++={0,2}+(?=[\x20\t\r]*(?:[\n\\"']|\Z))"""
+    run = rf"(?:{between}(?:[A-Za-z0-9+/]{{16,}}+={{0,2}}+|[A-Za-z0-9+/]{{2,}}+={{1,2}}+|=[A-Za-z0-9+/]{{4}}|{alone}))*+"
+    return rf"-----BEGIN {name}(?:{to_end}|{headers}{run})"
+
+
 # The base kinds, in the order that breaks ties.
 BASE = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
@@ -53,7 +65,7 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", _private_key()),
     Rule("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
