@@ -170,10 +170,14 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     n_groups = sizes.count()
     few = n_groups <= BROADCAST_GROUPS
     hint = F.broadcast if few else (lambda x: x)
-    # Small groups are judged together, under a key no real group has.
+    # Small groups are judged by the documents of all groups, under a key no real group has.
     large = sizes.where(F.col("__n") >= min_group).select("__g", F.col("__g").alias("g"))
+    pooled = sizes.where(F.col("__n") < min_group).limit(1).count() > 0
     base = base.join(hint(large), "__g", "left").withColumn("g", F.coalesce("g", F.lit("pooled"))).drop("__g")
-    est = _estimates(base.where("not base_failed").select("g", *[f"x{i}" for i in range(_K)]), few, support, steps)
+    passed = base.where("not base_failed").select("g", *[f"x{i}" for i in range(_K)])
+    if pooled:
+        passed = passed.where("g != 'pooled'").unionByName(passed.withColumn("g", F.lit("pooled")))
+    est = _estimates(passed, few, support, steps)
     out = _distance(base.join(hint(est), "g", "left"))
     kept = ~F.col("base_failed") & (F.col("d2") <= cutoff)
     return out.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "d2", F.coalesce(kept, F.lit(False)).alias("kept"))
