@@ -346,7 +346,7 @@ PART_KEYS = 2 << 20
 
 
 def _members(docs: DataFrame, folder: str, doc_id: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
-    """rid, doc_id, n, node, component_id per row of ``docs``, whose rows are kept in the store."""
+    """rid, doc_id, n, node, root, component_id per row of ``docs``, whose rows are kept in the store."""
     f = materialise(features(docs, doc_id, text, k, folder), "sets")
     reps = materialise(f.groupBy("n", "h1", "h2").agg(F.min("rid").alias("node")), "set-nodes")
     # 2, 3: cells and ties
@@ -378,7 +378,7 @@ def _members(docs: DataFrame, folder: str, doc_id: str, text: str, k: int, numer
     rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = materialise(rows.select("rid", "doc_id", "n", "node", "root"), "members")
     ids = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(ids, "root").select("rid", "doc_id", "n", "node", "component_id")
+    return rows.join(ids, "root").select("rid", "doc_id", "n", "node", "root", "component_id")
 
 
 def link_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, numer: int = NUMER, denom: int = DENOM) -> DataFrame:
@@ -407,11 +407,13 @@ def _rest(large: DataFrame, linked: DataFrame, folder: str, text: str, k: int, n
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, numer: int = 80, denom: int = 100) -> DataFrame:
     """``docs`` with one row (the smallest id) of every group of near-duplicates, all columns kept.
 
-    Rows that repeat the smallest id of a group with an equal set all stay.
+    One of the rows that share the smallest id stays, as does one of a group without ids.
     """
     folder = new_folder(docs.sparkSession, "rows")
     found = _members(docs, folder, doc_id, text, k, numer, denom)
-    stay = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("rid")
+    # Rows without shingles have roots of their own, so all of them stay.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("first")
+    stay = found.groupBy("root").agg(first).select("first.rid")
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kept in _store.take(it, folder):
