@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import materialise
+from ._util import discard, materialise
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -16,8 +16,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     loops; the graph shrinks at least by half.  Rounds are written out, which cuts
     lineage.  Nodes of very many edges meet in equi-joins, which adaptive execution splits.
     """
-    e = edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    e = materialise(e, "edges")
+    was = e = materialise(edges.where(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "edges")
     rounds: list[DataFrame] = []
     while e.limit(1).count():
         both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -28,11 +27,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         pb = parent.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         e = e.join(pa, "a").join(pb, "b").where("ra != rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
         e = materialise(e, "edges")
+        discard(was)
+        was = e
     if not rounds:
         return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = rounds[0]
     for later in rounds[1:]:
         out = out.join(later.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    if len(rounds) > 1:
+        out = materialise(out, "roots")
+        discard(*rounds)
     return out
 
 

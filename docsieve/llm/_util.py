@@ -58,7 +58,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._docsieve_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote and nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_docsieve_path", None):
+            _delete(df.sparkSession, path)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -119,16 +119,57 @@ def test_one_of_each_group_stays(spark, rows):
     assert {r.doc_id for r in kept.collect()} == ids and kept.columns == frame(spark, rows).columns
 
 
-def test_cells_meet():
-    """Sets that just link share a cell, at every size."""
+def test_first_shingles_meet():
+    """Sets that just link share one of their first shingles, at every size, whatever is known as frequent."""
     rng = np.random.default_rng(0)
-    ends = ngram_join._bands(5000, 90, 100)
-    for n in [9, 10, 11, 12, 15, 19, 20, 28, 29, 50, 99, 137, 400, 1500]:
-        for _ in range(20):
+    for n in [1, 2, 9, 10, 11, 12, 19, 20, 29, 50, 137, 400, 1500]:
+        for numer in (80, 90):
             a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
-            drop = int(n - np.ceil(0.9 * n))
+            drop = int(n - np.ceil(numer / 100 * n))
             b = np.sort(a[rng.permutation(n)[drop:]])
-            assert set(ngram_join.cell_keys(a, ends, 90, 100).tolist()) & set(ngram_join.cell_keys(b, ends, 90, 100).tolist()), n
+            often = np.sort(rng.choice(a, n // 2, replace=False))
+            for heavy in ((often, np.arange(len(often)).astype(np.uint8)), (often[:0], np.zeros(0, np.uint8))):
+                row, token = ngram_join.first_shingles(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), heavy, numer, 100)
+                assert set(token[row == 0].tolist()) & set(token[row == 1].tolist()), n
+
+
+def test_tree_loses_nothing():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets = []
+    for i in range(1500):
+        own = rng.integers(0, 1 << 63, int(rng.integers(1, 200))).astype(np.uint64)
+        sets.append(np.unique(np.concatenate([base[: rng.integers(1, 300)], own[: rng.integers(0, 30)]]) if i % 2 else own))
+    size = np.array([len(s) for s in sets])
+    pts = ngram_join.points(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)])).astype(np.uint32)
+    tree = ngram_join.RTree(pts, size, 80, 100)
+    assert len(tree.levels) == 2
+    i, j = tree.search(np.arange(1500), np.ones(1500, bool))
+    got = {(int(tree.order[x]), int(tree.order[y])) for x, y in zip(i, j)}
+    want = set()
+    for x in range(1500):
+        over = np.minimum(pts[x], pts).sum(1)
+        ok = (over >= -(-80 * (size[x] + size) // 180)) & (np.minimum(size, size[x]) * 100 >= 80 * np.maximum(size, size[x]))
+        want |= {(x, y) for y in np.flatnonzero(ok).tolist()}
+    assert got == want and len(got) > 1500
+    up = list(range(1500))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    pairs = list(ngram_join.grow(tree))
+    for x, y in pairs:
+        assert find(x) != find(y)
+        up[find(x)] = find(y)
+    assert all(find(x) == find(y) for x, y in want)
+
+
+def test_links_of_tied_cells(spark, rows, monkeypatch):
+    """Rows that stand for many, in every task and cell."""
+    monkeypatch.setattr(ngram_join, "STAR", 2)
+    same(ngram_join.link_components(frame(spark, rows), k=5, numer=80), brute.link_components(rows, 5, 80, 100), "doc_id", "n_shingles", "component_id")
 
 
 def test_shards(spark, rows):
