@@ -5,8 +5,9 @@
 ascending document order, then an index: keys are spread over buckets, and each
 bucket file holds a minimal perfect hash (levels of collision-free bit vectors with
 ranks) from key to a slot with a stored 64-bit fingerprint, shard, offset, length and
-global start.  ``read`` looks keys up in the index in constant time each and reads
-their byte ranges from the shards.
+global start.  ``read`` looks keys up in the index in constant time each (a few words of
+its file, or the whole file for many keys) and reads their byte ranges from the shards.
+Special strings of the tokenizer in a text become their own ids, as in the library.
 
 Scale: texts are range-partitioned by document id once (composite key, so repeated
 ids cannot pile up) and encoded where they are written; index and look-ups move a
@@ -70,7 +71,9 @@ def byte_bpe(path: str) -> tuple[SegmentEncoder, int]:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # such strings in a text are text
+        for token in t.get_added_tokens_decoder().values():
+            if any(c.isspace() for c in token.content) or token.lstrip or token.rstrip:
+                raise ValueError("added tokens that take white space would cross segments")
         size = t.get_vocab_size()
         dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
 
@@ -92,30 +95,33 @@ def _level(keys: np.ndarray, level: int, size: int) -> np.ndarray:
     return (mix(keys + U(0x9E3779B97F4A7C15 * (level + 1) & ((1 << 64) - 1))) % U(size)).astype(np.int64)
 
 
+_WORD = np.dtype([("bits", "<u8"), ("rank", "<u8")])
+
+
 class PerfectHash:
     """Levels of bit vectors: a key's slot is the rank of its bit on the first level where it stood alone."""
 
     def __init__(self, levels: list[np.ndarray], rest: np.ndarray):
+        #: per level, pairs of 64 bits and how many bits stand before them on all levels
         self.levels, self.rest = levels, rest
-        self.ranks, total = [], 0
-        for bits in levels:
-            # cumulative counts per 64 bits
-            per = bits.reshape(-1, 64).sum(1)
-            self.ranks.append(total + np.concatenate([[0], np.cumsum(per)[:-1]]))
-            total += int(per.sum())
-        self.base = total
+        self.base = int(levels[-1]["rank"][-1]) + int(np.bitwise_count(levels[-1]["bits"][-1])) if levels else 0
 
     @classmethod
     def build(cls, keys: np.ndarray, gamma: float = 1.6, most: int = 40) -> PerfectHash:
         keys = np.asarray(keys, U)
         if len(np.unique(keys)) != len(keys):
             raise ValueError("keys repeat")
-        levels = []
+        levels, total = [], 0
         while len(keys) and len(levels) < most:
             size = max(64, -(-int(len(keys) * gamma) // 64) * 64)
             at = _level(keys, len(levels), size)
             alone = np.bincount(at, minlength=size) == 1
-            levels.append(alone)
+            level = np.zeros(size // 64, _WORD)
+            level["bits"] = np.packbits(alone, bitorder="little").view("<u8")
+            count = np.cumsum(np.bitwise_count(level["bits"]), dtype=np.int64)
+            level["rank"] = total + np.concatenate([[0], count[:-1]])
+            total += int(count[-1])
+            levels.append(level)
             keys = keys[~alone[at]]
         return cls(levels, np.sort(keys))
 
@@ -124,13 +130,13 @@ class PerfectHash:
         keys = np.asarray(keys, U)
         out = np.full(len(keys), -1, np.int64)
         left = np.arange(len(keys))
-        for i, bits in enumerate(self.levels):
-            at = _level(keys[left], i, len(bits))
-            hit = bits[at]
-            a = at[hit]
-            word = a >> 6
-            inside = (bits.reshape(-1, 64)[word] & (np.arange(64)[None, :] < (a & 63)[:, None])).sum(1)
-            out[left[hit]] = self.ranks[i][word] + inside
+        for i, level in enumerate(self.levels):
+            at = _level(keys[left], i, len(level) * 64)
+            got = level[at >> 6]
+            bit = U(1) << (at & 63).astype(U)
+            hit = (got["bits"] & bit) != 0
+            inside = np.bitwise_count(got["bits"] & (bit - U(1))).astype(np.int64)
+            out[left[hit]] = (got["rank"].astype(np.int64) + inside)[hit]
             left = left[~hit]
         if len(left) and len(self.rest):
             pos = np.minimum(np.searchsorted(self.rest, keys[left]), len(self.rest) - 1)
@@ -139,19 +145,52 @@ class PerfectHash:
         return out
 
     def dump(self) -> bytes:
-        head = np.array([len(self.levels), *[len(b) for b in self.levels], len(self.rest)], "<i8")
-        return np.array([len(head)], "<i8").tobytes() + head.tobytes() + b"".join(np.packbits(b).tobytes() for b in self.levels) + self.rest.astype("<u8").tobytes()
+        head = np.array([*[len(b) for b in self.levels], len(self.rest)], "<i8")
+        return np.array([len(head)], "<i8").tobytes() + head.tobytes() + b"".join(b.tobytes() for b in self.levels) + self.rest.astype("<u8").tobytes()
 
     @classmethod
     def load(cls, data: bytes) -> tuple[PerfectHash, int]:
         n = int(np.frombuffer(data, "<i8", 1)[0])
         head = np.frombuffer(data, "<i8", n, 8)
         pos, levels = 8 + 8 * n, []
-        for size in head[1:-1].tolist():
-            levels.append(np.unpackbits(np.frombuffer(data, np.uint8, size // 8, pos)).astype(bool))
-            pos += size // 8
-        rest = np.frombuffer(data, "<u8", int(head[-1]), pos)
-        return cls(levels, rest), pos + 8 * int(head[-1])
+        for size in head[:-1].tolist():
+            levels.append(np.frombuffer(data, _WORD, size, pos))
+            pos += size * _WORD.itemsize
+        return cls(levels, np.frombuffer(data, "<u8", int(head[-1]), pos)), pos + 8 * int(head[-1])
+
+
+class _InFile:
+    """An array in a file of which single elements are read, for look-ups of a few keys."""
+
+    def __init__(self, f: RangeReader, dtype: np.dtype, n: int, at: int):
+        self.f, self.dtype, self.n, self.at = f, dtype, n, at
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: np.ndarray) -> np.ndarray:
+        size = self.dtype.itemsize
+        return np.frombuffer(b"".join(self.f.read(self.at + size * k, size) for k in i.tolist()), self.dtype)
+
+
+def open_index(f: RangeReader, keys: int) -> tuple[PerfectHash, np.ndarray | _InFile]:
+    """(perfect hash, entries) of an index file: read whole for many keys, else by the few words each key needs."""
+    size = f.size()
+    if keys * 4096 > size:
+        data = f.read(0, size)
+        perfect, at = PerfectHash.load(data)
+        return perfect, np.frombuffer(data, _ENTRY, offset=at)
+    n = int(np.frombuffer(f.read(0, 8), "<i8")[0])
+    head = np.frombuffer(f.read(8, 8 * n), "<i8").tolist()
+    at, levels = 8 + 8 * n, []
+    for words in head[:-1]:
+        levels.append(_InFile(f, _WORD, words, at))
+        at += words * _WORD.itemsize
+    perfect = PerfectHash.__new__(PerfectHash)
+    rest = np.frombuffer(f.read(at, 8 * head[-1]), "<u8")
+    at += 8 * head[-1]
+    perfect.levels, perfect.rest, perfect.base = levels, rest, (size - at) // _ENTRY.itemsize - len(rest)
+    return perfect, _InFile(f, _ENTRY, (size - at) // _ENTRY.itemsize, at)
 
 
 _ENTRY = np.dtype([("fingerprint", "<u8"), ("shard", "<u4"), ("offset", "<u8"), ("n", "<u8"), ("start", "<u8")])
@@ -271,13 +310,11 @@ def locate(files: TokenFiles, keys: DataFrame) -> DataFrame:
 
     def look_up(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _by_value(it, "bucket"):
-            with RangeReader(f"{folder}/index-{bucket:06d}") as f:
-                data = f.read(0, f.size())
-            perfect, at = PerfectHash.load(data)
-            entry = np.frombuffer(data, _ENTRY, offset=at)
             key, mark = _keys(column(rows, "doc_id"), column(rows, "ordinal"))
-            slot = perfect.slots(key)
-            got = entry[np.maximum(slot, 0)]
+            with RangeReader(f"{folder}/index-{bucket:06d}") as f:
+                perfect, entry = open_index(f, len(key))
+                slot = perfect.slots(key)
+                got = entry[np.maximum(slot, 0)]
             known = (slot >= 0) & (got["fingerprint"] == mark)
             out = {c: column(rows, c).filter(pa.array(known)) for c in ("doc_id", "ordinal")}
             out |= {name: pa.array(got[c][known].astype(np.int64)) for c, name in (("shard", "shard"), ("offset", "offset"), ("n", "n_tokens"), ("start", "start"))}
