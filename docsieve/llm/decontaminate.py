@@ -4,8 +4,9 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 Every benchmark item gives its windows of ``n`` words (one window, the whole item,
 if it has fewer; none without words).  The window hashes go to all tasks: as a
 broadcast while the benchmark texts are within ``broadcast_limit`` bytes, else as
-block files in the shared folder that each task reads one after the other, so
-memory stays bounded by one block.  A hash hit counts only after the words
+block files in the shared folder that each task reads one after the other for every
+``_BUFFER`` bytes of its texts, so memory stays bounded by one block and one buffer
+(a block takes some four times ``broadcast_limit``).  A hash hit counts only after the words
 themselves compare equal.  No shuffle of the documents takes place.
 
 Defined cases: a null or empty text has no words, is never contaminated; a null
@@ -30,93 +31,66 @@ from ._words import ALNUM_LOW, U, Words, covered, row_bytes
 WINDOW = 13
 BROADCAST_LIMIT = 16 << 20
 _FILTER_BITS = 22
+#: bytes of document text held while block files are read
+_BUFFER = 16 << 20
 
 
 class NgramSet:
-    """Window hashes of some items by window length, with what verification needs."""
+    """Windows of some items, by length: sorted hashes, and where in the items' words each
+    begins.  The words stand once, so a set takes some four times the bytes of its texts."""
 
-    def __init__(self, n: int = WINDOW):
-        self.n = n
-        self.by_len: dict[int, dict[int, list[tuple[bytes, tuple[str, ...]]]]] = {}
-        self._ready: dict[int, tuple[np.ndarray, np.ndarray]] | None = None
-
-    def add(self, ids: list, col: pa.Array) -> None:
+    def __init__(self, n: int, ids: list, col: pa.Array):
         w = Words(col, ALNUM_LOW, lower=True)
-        for r, item in enumerate(ids):
-            words = int(w.count[r])
-            if not words:
-                continue
-            k = min(self.n, words)
-            key = "" if item is None else str(item)
-            one = self.by_len.setdefault(k, {})
-            first = int(w.rows[r])
-            part = w.hash[first : first + words]
-            for j, h in enumerate(_rolling(part, k)):
-                seen = one.setdefault(int(h), [])
-                text = row_bytes(w, first + j, k)
-                for i, (t, items) in enumerate(seen):
-                    if t == text:
-                        if key not in items:
-                            seen[i] = (t, (*items, key))
-                        break
-                else:
-                    seen.append((text, (key,)))
-        self._ready = None
-
-    def tables(self) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        if self._ready is None:
-            self._ready = {}
-            for k, one in self.by_len.items():
-                hashes = np.sort(np.fromiter(one, dtype=U, count=len(one)))
-                bits = np.zeros(1 << _FILTER_BITS, bool)
-                bits[(hashes & U((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-                self._ready[k] = (hashes, bits)
-        return self._ready
-
-    def __getstate__(self):
-        return {"n": self.n, "by_len": self.by_len, "_ready": None}
+        self.raw = b" ".join(w.raw[s:e].tobytes() for s, e in zip(w.start.tolist(), w.end.tolist()))
+        self.end = np.cumsum(w.end - w.start + 1) - 1
+        self.start = self.end - (w.end - w.start)
+        self.ids = ["" if x is None else str(x) for x in ids]
+        row = np.searchsorted(w.rows, np.arange(len(w.start)), side="right") - 1
+        self.item = row.astype(np.int32)
+        self.by_len: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k in np.unique(np.minimum(w.count[w.count > 0], n)).tolist():
+            at, g = w.windows(k, salt=k)
+            own = np.minimum(w.count, n)[row[at]] == k
+            at, g = at[own], g[own]
+            order = np.argsort(g, kind="stable")
+            self.by_len[k] = g[order], at[order].astype(np.int32)
+
+    def window(self, i: int, k: int) -> bytes:
+        return self.raw[self.start[i] : self.end[i + k - 1]]
 
     def find(self, w: Words, hit: np.ndarray, items: list[set]) -> None:
         """Mark in ``hit`` the words under occurring windows; add the ids to each row's set."""
-        for k, (hashes, bits) in self.tables().items():
+        for k, (hashes, first) in self.by_len.items():
             at, g = w.windows(k, salt=k)
+            bits = np.zeros(1 << _FILTER_BITS, bool)
+            bits[(hashes & U((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
             maybe = np.flatnonzero(bits[(g & U((1 << _FILTER_BITS) - 1)).astype(np.int64)])
             if not len(maybe):
                 continue
-            pos = np.minimum(np.searchsorted(hashes, g[maybe]), len(hashes) - 1)
-            maybe = maybe[hashes[pos] == g[maybe]]
+            low = np.searchsorted(hashes, g[maybe])
+            high = np.searchsorted(hashes, g[maybe], side="right")
+            some = high > low
+            maybe, low, high = maybe[some], low[some], high[some]
             rows = np.searchsorted(w.rows, at[maybe], side="right") - 1
             good = []
-            for i, h, r in zip(at[maybe].tolist(), g[maybe].tolist(), rows.tolist()):
+            for i, a, b, r in zip(at[maybe].tolist(), low.tolist(), high.tolist(), rows.tolist()):
                 text = row_bytes(w, i, k)
-                for t, names in self.by_len[k][h]:
-                    if t == text:
-                        items[r].update(names)
-                        good.append(i)
+                own = {self.ids[self.item[x]] for x in first[a:b].tolist() if self.window(x, k) == text}
+                if own:
+                    items[r] |= own
+                    good.append(i)
             if good:
                 hit |= covered(np.array(good), k, len(w.start))
 
 
-def _rolling(part: np.ndarray, k: int) -> np.ndarray:
-    from ._words import _BASE2, mix
-
-    g = np.full(len(part) - k + 1, k, dtype=U)
-    for j in range(k):
-        g *= U(_BASE2)
-        g += part[j : len(part) - k + 1 + j]
-    return mix(g)
-
-
 def _sets(benchmark: DataFrame, item_id: str, text: str, n: int, limit: int):
     """A function for tasks that yields the n-gram sets of all items, block by block."""
     spark = benchmark.sparkSession
     items = keyed(benchmark, item_id, text)
-    size = items.select(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
+    size = items.select(F.sum(F.octet_length(F.col(f"`{text}`")) + 16)).first()[0] or 0
     if size <= limit:
-        whole = NgramSet(n)
         rows = items.collect()  # at most ``limit`` bytes of text
-        whole.add([r[0] for r in rows], pa.array([r[1] or "" for r in rows], pa.string()))
-        shared = spark.sparkContext.broadcast(whole)
+        shared = spark.sparkContext.broadcast(NgramSet(n, [r[0] for r in rows], pa.array([r[1] or "" for r in rows], pa.string())))
         return lambda: iter((shared.value,))
     folder = new_folder(spark, "ngrams")
     blocks = -(-size // limit)
@@ -124,13 +98,13 @@ def _sets(benchmark: DataFrame, item_id: str, text: str, n: int, limit: int):
     def build(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        one, any_rows = NgramSet(n), False
+        ids, texts = [], []
         for b in it:
-            any_rows |= b.num_rows > 0
-            one.add(column(b, item_id).to_pylist(), text_column(b, text))
-        if any_rows:
+            ids += column(b, item_id).to_pylist()
+            texts += text_column(b, text).to_pylist()
+        if ids:
             path = f"{folder}/block-{TaskContext.get().partitionId():06d}"
-            write_file(path, [pickle.dumps(one, protocol=5)])
+            write_file(path, [pickle.dumps(NgramSet(n, ids, pa.array(texts, pa.string())), protocol=5)])
             yield pa.record_batch({"path": [path]})
 
     # Items are spread by a hash of the whole row, so no block holds more than its share.
@@ -144,12 +118,31 @@ def _sets(benchmark: DataFrame, item_id: str, text: str, n: int, limit: int):
     return load
 
 
-def _judge(col: pa.Array, sets) -> tuple[Words, np.ndarray, list[set]]:
-    w = Words(col, ALNUM_LOW, lower=True)
-    hit, items = np.zeros(len(w.start), bool), [set() for _ in range(len(col))]
-    for s in sets():
-        s.find(w, hit, items)
-    return w, hit, items
+def _judged(it: Iterator[pa.RecordBatch], text: str, sets) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, list[set]]]:
+    """Pieces of batches with their words, the words hit and the items found in each row.
+
+    All pieces of ``_BUFFER`` bytes of text meet one block of n-grams before the next is read."""
+
+    def judge(held: list) -> Iterator[tuple]:
+        pieces = []
+        for part, col in held:
+            w = Words(col, ALNUM_LOW, lower=True)
+            pieces.append((part, w, np.zeros(len(w.start), bool), [set() for _ in range(len(col))]))
+        for s in sets():
+            for _, w, hit, items in pieces:
+                s.find(w, hit, items)
+        yield from pieces
+
+    held, size = [], 0
+    for batch in it:
+        for part, col in chunks(batch, text):
+            held.append((part, col))
+            size += col.nbytes
+            if size > _BUFFER:
+                yield from judge(held)
+                held, size = [], 0
+    if held:
+        yield from judge(held)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", n: int = WINDOW, broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -159,20 +152,18 @@ def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for part, col in chunks(batch, text):
-                w, hit, items = _judge(col, sets)
-                cum = np.concatenate([[0], np.cumsum(hit)])
-                yield pa.record_batch(
-                    [
-                        column(part, doc_id),
-                        pa.array(w.count, pa.int64()),
-                        pa.array(cum[w.rows[1:]] - cum[w.rows[:-1]], pa.int64()),
-                        pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-                        pa.array([_runs(hit[a:b]) for a, b in zip(w.rows[:-1], w.rows[1:])], pa.list_(pa.int32())),
-                    ],
-                    names=[doc_id, "n_words", "n_hit", "items", "hit_spans"],
-                )
+        for part, w, hit, items in _judged(it, text, sets):
+            cum = np.concatenate([[0], np.cumsum(hit)])
+            yield pa.record_batch(
+                [
+                    column(part, doc_id),
+                    pa.array(w.count, pa.int64()),
+                    pa.array(cum[w.rows[1:]] - cum[w.rows[:-1]], pa.int64()),
+                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                    pa.array([_runs(hit[a:b]) for a, b in zip(w.rows[:-1], w.rows[1:])], pa.list_(pa.int32())),
+                ],
+                names=[doc_id, "n_words", "n_hit", "items", "hit_spans"],
+            )
 
     return docs.mapInArrow(run, f"`{doc_id}` {kind}, n_words long, n_hit long, items array<string>, hit_spans array<int>")
 
@@ -196,25 +187,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     sets = _sets(benchmark, item_id, item_text, n, broadcast_limit)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for part, col in chunks(batch, text):
-                w, hit, _ = _judge(col, sets)
-                cum = np.concatenate([[0], np.cumsum(hit)])
-                n_hit = cum[w.rows[1:]] - cum[w.rows[:-1]]
-                if remove == "documents":
-                    yield part.filter(pa.array(~((n_hit > 0) & (n_hit * share >= w.count))))
-                    continue
-                texts = column(part, text).to_pylist()
-                for r in np.flatnonzero(n_hit).tolist():
-                    a, b, base = w.rows[r], w.rows[r + 1], w.offsets[r]
-                    raw, out, last = texts[r].encode(), [], 0
-                    runs = _runs(hit[a:b])
-                    for s, e in zip(runs[::2], runs[1::2]):
-                        out.append(raw[last : w.start[a + s] - base])
-                        last = int(w.end[a + e - 1] - base)
-                    texts[r] = b"".join([*out, raw[last:]]).decode()
-                i = part.schema.get_field_index(text)
-                yield part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
+        for part, w, hit, _ in _judged(it, text, sets):
+            cum = np.concatenate([[0], np.cumsum(hit)])
+            n_hit = cum[w.rows[1:]] - cum[w.rows[:-1]]
+            if remove == "documents":
+                yield part.filter(pa.array(~((n_hit > 0) & (n_hit * share >= w.count))))
+                continue
+            texts = column(part, text).to_pylist()
+            for r in np.flatnonzero(n_hit).tolist():
+                a, b, base = w.rows[r], w.rows[r + 1], w.offsets[r]
+                raw, out, last = texts[r].encode(), [], 0
+                runs = _runs(hit[a:b])
+                for s, e in zip(runs[::2], runs[1::2]):
+                    out.append(raw[last : w.start[a + s] - base])
+                    last = int(w.end[a + e - 1] - base)
+                texts[r] = b"".join([*out, raw[last:]]).decode()
+            i = part.schema.get_field_index(text)
+            yield part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
 
     return docs.mapInArrow(run, docs.schema)
 

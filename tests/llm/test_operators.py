@@ -69,6 +69,36 @@ def test_decontamination(spark, rows):
     assert cut[900] == "lead in " + "" + items[3][1].upper()[len(items[3][1].rstrip("., \n")) :] + " and out"
 
 
+@pytest.mark.parametrize("n", [1, 2, 13, 16, 17, 25, 50])
+def test_windows_of_every_length(n):
+    rng = random.Random(n)
+    items = [(1, prose(rng, 60)), (2, prose(rng, 12)), (3, prose(rng, 20)), (4, None), (None, prose(rng, 33))]
+    docs = [(1, "lead " + items[0][1] + " tail"), (2, items[1][1]), (3, prose(rng, 400)), (4, " ".join(items[4][1].split()[:26]).upper()), (5, None)]
+    block = decontaminate.NgramSet(n, [i for i, _ in items], pa.array([t or "" for _, t in items]))
+    w = decontaminate.Words(pa.array([t or "" for _, t in docs]), decontaminate.ALNUM_LOW, lower=True)
+    hit, found = np.zeros(len(w.start), bool), [set() for _ in docs]
+    block.find(w, hit, found)
+    got = [(int(hit[a:b].sum()), brute.sha(",".join(sorted(f)))) for a, b, f in zip(w.rows[:-1], w.rows[1:], found)]
+    assert got == [(x[2], x[4]) for x in brute.contamination(docs, items, n)]
+    assert got[0][0] >= 60
+
+
+def test_few_keys_are_looked_up_in_place(tmp_path):
+    from docsieve.llm._util import RangeReader
+
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 50_000).astype(np.uint64))
+    perfect = tokenfile.PerfectHash.build(keys)
+    entry = np.zeros(len(keys), tokenfile._ENTRY)
+    entry["fingerprint"][perfect.slots(keys)] = keys
+    path = tmp_path / "index"
+    path.write_bytes(perfect.dump() + entry.tobytes())
+    with RangeReader(str(path)) as f:
+        for some in (keys[:5], keys):
+            found, rows = tokenfile.open_index(f, len(some))
+            assert (rows[found.slots(some)]["fingerprint"] == some).all() and found.base == perfect.base
+            assert isinstance(rows, np.ndarray) == (len(some) > 5)
+
+
 def test_quality(spark, rows):
     junk = [(1000 + i, " ".join(w + "#$%" for w in prose(random.Random(i), 60).split())) for i in range(8)]
     clean = [(2000 + i, prose(random.Random(100 + i), 150)) for i in range(120)]
@@ -240,8 +270,9 @@ def test_token_files(spark, rows):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    odd = [(5000 + i, s) for i, s in enumerate(["a  b", "x  y", "\r\n\r\n z", "<|endoftext|>", "it's  12 ", "a\x1c b"])]
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    special = ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>b\n <|endoftext|>  ", "x<|endoftext|>\n\n y <|endof text|>"]
+    odd = [(5000 + i, s) for i, s in enumerate(["a  b", "x  y", "\r\n\r\n z", "it's  12 ", "a\x1c b", *special])]
     docs = [*rows, *odd]
     files = tokenfile.write(frame(spark, docs), path)
     got = tokenfile.checksums(files).orderBy("start").collect()
@@ -264,6 +295,7 @@ def test_perfect_hash():
     assert sorted(slots.tolist()) == list(range(len(np.unique(keys))))
     again, _ = tokenfile.PerfectHash.load(h.dump())
     assert (again.slots(keys) == h.slots(keys)).all()
+    assert h.base + len(h.rest) == len(np.unique(keys))
     with pytest.raises(ValueError):
         tokenfile.PerfectHash.build(np.array([1, 1], np.uint64))
 
