@@ -41,3 +41,24 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.parametrize("gone", [("docsieve/llm", "corpus_pipeline.py"), ("docsieve/llm",), ("corpus_pipeline.py",)])
+def test_without_optional_parts(tmp_path, gone):
+    """The entry module works without the training-data subpackage, the pipeline, or both."""
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/docsieve", tmp_path / "docsieve", ignore=shutil.ignore_patterns("__pycache__"))
+    for f in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(f"{root}/{f}"):
+            shutil.copy(f"{root}/{f}", tmp_path / f)
+    for g in gone:
+        p = tmp_path / g
+        shutil.rmtree(p) if p.is_dir() else p.unlink(missing_ok=True)
+    code = "import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert callable(e.entry) and len(q) >= 38 and set(s) <= set(q); print('pipeline' in q, sum(x.startswith('op') and x[2].isdigit() for x in q))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.split()[0] == "False"
