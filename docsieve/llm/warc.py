@@ -47,8 +47,9 @@ def write_archive(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     """(payloads: digest, payload; headers: digest, seq columns and header) as written tables."""
     data = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit(b""))
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), data.alias("payload"))
+    newest = F.max(F.struct("page_id", "url")).alias("newest")
     digest = F.sha2("payload", 256).alias("digest")
-    store = rows.select("page_id", "payload", digest).groupBy("digest").agg(F.max("page_id").alias("newest"), F.any_value("payload").alias("payload"), F.min(F.crc32("payload")).alias("c0"), F.max(F.crc32("payload")).alias("c1"))
+    store = rows.select("page_id", "url", "payload", digest).groupBy("digest").agg(newest, F.any_value("payload").alias("payload"), F.min(F.crc32("payload")).alias("c0"), F.max(F.crc32("payload")).alias("c1"))
     # Equal strong digests with unequal checksums would be a collision: the write must stop.
     store = store.select("digest", "newest", F.when(F.col("c0") == F.col("c1"), F.col("payload")).otherwise(F.raise_error(F.lit("digest collision")).cast("binary")).alias("payload"))
     store = materialise(store, "warc-payloads")
@@ -57,25 +58,26 @@ def write_archive(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     return store.select("digest", "payload"), materialise(known.select("digest", _header(least).alias("header")), "warc-headers")
 
 
-def _record_id(page: Column) -> Column:
-    h = F.md5(F.concat(F.lit("page:"), F.coalesce(page.cast("string"), F.lit(""))))
+def _record_id(page: Column, url: Column) -> Column:
+    """Of page, address and payload: pages that share an id have records of their own."""
+    h = F.md5(F.concat_ws("\u0001", F.lit("page"), F.coalesce(page.cast("string"), F.lit("-")), F.coalesce(url, F.lit("-")), F.col("digest")))
     return F.concat(F.lit("<urn:uuid:"), F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-"), F.substring(h, 13, 4), F.lit("-"), F.substring(h, 17, 4), F.lit("-"), F.substring(h, 21, 12), F.lit(">"))
 
 
 def _header(least: int) -> Column:
-    revisit = F.coalesce((F.col("bytes") >= least) & F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest")), F.lit(False))
+    revisit = F.coalesce((F.col("bytes") >= least) & F.col("newest.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest.page_id")), F.lit(False))
     address = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"))),
+        F.concat(F.lit("WARC-Record-ID: "), _record_id(F.col("page_id"), F.col("url"))),
         F.lit(f"WARC-Date: {DATE}"),
         F.concat(F.lit("WARC-Target-URI: "), address),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
         F.when(revisit, "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("newest")))),
+        F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), _record_id(F.col("newest.page_id"), F.col("newest.url")))),
         F.concat(F.lit("X-Page-ID: "), F.col("page_id").cast("string")),
-        F.when(revisit, F.concat(F.lit("X-Refers-To-Page-ID: "), F.col("newest").cast("string"))),
+        F.when(revisit, F.concat(F.lit("X-Refers-To-Page-ID: "), F.col("newest.page_id").cast("string"))),
         F.lit("Content-Type: text/html; charset=utf-8"),
         F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string")),
     ]
@@ -88,16 +90,17 @@ def field(name: str, header: str = "header") -> Column:
 
 
 def verified(payloads: DataFrame) -> DataFrame:
-    """digest, payload_bytes, payload_digest of stored payloads, each held against its digest."""
+    """digest, payload, payload_bytes, payload_digest of stored payloads, each held against its digest."""
     right = F.when(F.sha2("payload", 256) == F.col("digest"), F.octet_length("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest")).cast("int"))
-    return payloads.select("digest", right.cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
+    return payloads.select("digest", "payload", right.cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
 
 
 def records(payloads: DataFrame, headers: DataFrame) -> DataFrame:
-    """header, payload and the exact bytes of every original record."""
-    whole = headers.join(payloads, "digest")
+    """header, payload with its size and SHA-1, and the exact bytes of every original record."""
+    # Digests are taken of stored payloads, before the join gives them to every record.
+    whole = headers.join(verified(payloads), "digest")
     body = F.when(field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
-    return whole.select("header", "payload", F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")).alias("record"))
+    return whole.select("header", "payload", "payload_bytes", "payload_digest", F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n")).alias("record"))
 
 
 def export_warc(payloads: DataFrame, headers: DataFrame, folder: str) -> DataFrame:
@@ -142,12 +145,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    """Contract query over all of ``pages``."""
-    payloads, headers = write_archive(read_table(spark, sf_dir, "pages"))
-    parsed = headers.select("digest", field("X-Page-ID").cast("long").alias("page_id"), field("WARC-Type").alias("record_type"), field("X-Refers-To-Page-ID").cast("long").alias("refers_to"), field("WARC-Payload-Digest").alias("named"))
-    out = parsed.join(verified(payloads), "digest")
-    same = F.when(F.col("named") == F.concat(F.lit("sha1:"), F.col("payload_digest")), F.col("payload_digest")).otherwise(F.raise_error(F.lit("header and payload disagree")).cast("string"))
-    return out.select("page_id", "payload_bytes", same.alias("payload_digest"), "record_type", "refers_to")
+    """Contract query over all of ``pages``: every column comes from a rebuilt record."""
+    back = records(*write_archive(read_table(spark, sf_dir, "pages")))
+    # The header as it stands in the record's own bytes.
+    back = back.select(F.substring("record", F.lit(1), F.octet_length("header")).cast("string").alias("header"), "payload_bytes", "payload_digest", F.octet_length("record").alias("size"), F.octet_length("header").alias("skip"))
+    told = F.when(field("WARC-Type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
+    whole = (F.col("size") == F.col("skip") + told + 4) & (field("Content-Length").cast("long") == told) & (field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("payload_digest")))
+    right = F.when(whole, F.col("payload_digest")).otherwise(F.raise_error(F.lit("record, header and payload disagree")).cast("string"))
+    return back.select(field("X-Page-ID").cast("long").alias("page_id"), "payload_bytes", right.alias("payload_digest"), field("WARC-Type").alias("record_type"), field("X-Refers-To-Page-ID").cast("long").alias("refers_to"))
 
 
 SQL = """
