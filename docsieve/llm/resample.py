@@ -2,8 +2,10 @@
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased; words
 and word pairs are hashed into ``BUCKETS`` buckets.  Two bag-of-n-gram models, of
-labelled good text (the target) and of all text (raw), give each document the mean log
-ratio of its n-grams, shrunk towards 0 for short texts and scaled by ``SCALE``; the
+labelled good text (the target) and of all text (raw), each normalised with Dirichlet
+pseudo-counts, give each n-gram the log ratio of its two probabilities.  A document's
+log weight is the sum over its n-grams at the temperature (n + ``SHRINK``) / ``SCALE``,
+so that length alone neither admits nor rejects it; the
 documents with the largest sum of that weight and a Gumbel variate are the sample: a
 draw of k without replacement in proportion to the weights.
 
@@ -74,11 +76,16 @@ def _counts(docs: DataFrame, doc_id: str, text: str, target: set, buckets: int)
 
 
 def log_ratio(counts: np.ndarray, lean: float = LEAN) -> np.ndarray:
-    """log(target / raw) per bucket; ``lean`` pseudo-counts of the raw model keep rare n-grams near 0."""
-    if not counts[1].sum():
+    """log(p / q) per bucket: p the target's model with ``lean`` pseudo-counts a bucket, q the raw
+    model with pseudo-counts in the same proportion to its total."""
+    raw, target = counts[0].sum(), counts[1].sum()
+    if not target:
         return np.zeros(counts.shape[1])
-    expected = counts[0] * (counts[1].sum() / counts[0].sum())
-    return np.log(counts[1] + lean) - np.log(expected + lean)
+    n = counts.shape[1]
+    p = (counts[1] + lean) / (target + lean * n)
+    more = lean * raw / target
+    q = (counts[0] + more) / (raw + more * n)
+    return np.log(p) - np.log(q)
 
 
 def gumbel(ids: np.ndarray, seed: int) -> np.ndarray:
@@ -109,7 +116,7 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 def top_k(rows: DataFrame, key: str, k: int, tie: list[str]) -> DataFrame:
     """``rows`` (a written table) with boolean ``selected`` for the k largest keys."""
     bits = _DIGIT * _DIGITS
-    fixed = F.floor((F.least(F.greatest(F.col(key), F.lit(-2048.0)), F.lit(2047.0)) + 2048.0) * float(1 << (bits - 12))).cast("long")
+    fixed = F.floor((F.least(F.greatest(F.col(key), F.lit(-32768.0)), F.lit(32767.0)) + 32768.0) * float(1 << (bits - 16))).cast("long")
     rows = rows.withColumn("__k", fixed)
     prefix, need = 0, k
     for d in range(_DIGITS):
@@ -122,7 +129,7 @@ def top_k(rows: DataFrame, key: str, k: int, tie: list[str]) -> DataFrame:
                 break
             need -= counts.get(digit, 0)
         prefix = (prefix << _DIGIT) | digit
-    # Equal to 2**-36: the tied rows alone are ordered.
+    # Equal to 2**-32 (no weight at a usual scale is beyond the range): the tied rows alone are ordered.
     ties = rows.where(F.col("__k") == prefix).withColumn("selected", F.row_number().over(Window.orderBy(F.desc(key), *tie)) <= need)
     return rows.where(F.col("__k") != prefix).withColumn("selected", F.col("__k") > prefix).unionByName(ties).drop("__k")
 
