@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions are quantised to ``BITS`` bits, a Hilbert index orders
+Several metadata dimensions are quantised to ``BITS`` bits (categories by rank, in
+order; magnitudes by octaves), a Hilbert index orders
 the rows, and the order is cut into runs, so each shard covers a compact region of
 all dimensions at once and a manifest of per-shard minima and maxima prunes files
 for predicates on any of them.
@@ -27,6 +28,8 @@ from ._util import keyed, materialise, read_table
 
 SHARDS = 16
 BITS = 8
+#: distinct values of a category that one broadcast table holds
+CATEGORIES = 100_000
 _LOW = (1 << 33) - 1
 
 
@@ -59,9 +62,23 @@ def hilbert(coordinates: list[np.ndarray], bits: int = BITS) -> np.ndarray:
     return out
 
 
-def bucket(c: Column) -> Column:
-    """A category as one of 2**BITS cells; null takes cell 0."""
-    return F.when(c.isNull(), 0).otherwise(F.pmod(F.xxhash64(c), F.lit(1 << BITS))).cast("int")
+def bucketed(docs: DataFrame, c: str, name: str) -> DataFrame:
+    """``docs`` with the cell of category ``c`` as column ``name``: its rank among the distinct
+    values, scaled to 2**BITS cells, so cells keep the order that minima and maxima prune by.
+
+    Null takes cell 0.  Distinct values are counted before they are ranked: up to
+    ``CATEGORIES`` they go through a broadcast table, beyond that they are cut at as many
+    approximate quantiles of their leading characters."""
+    value = F.col(f"`{c}`").cast("string")
+    values = materialise(docs.select(value.alias("v")).where("v is not null").distinct(), "categories")
+    n = values.count()
+    if n > CATEGORIES:  # three characters' code points as one number, in string order
+        lead = lambda x: sum((F.coalesce(F.ascii(F.substring(x, i, 1)), F.lit(0)).cast("double") * float(1 << (21 * (3 - i))) for i in (1, 2, 3)), F.lit(0.0))
+        cuts = values.select(F.percentile_approx(lead(F.col("v")), [i / 256 for i in range(1, 256)], 10_000).alias("q")).first()[0]
+        cell = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= lead(value)))
+        return docs.withColumn(name, F.when(value.isNull(), 0).otherwise(cell))
+    ranked = values.select("v", F.row_number().over(Window.orderBy("v")).alias("r")).select(F.col("v").alias(f"{name}_v"), F.floor((F.col("r") - 1) * (1 << BITS) / max(n, 1)).cast("int").alias(name))
+    return docs.join(F.broadcast(ranked), value == F.col(f"{name}_v"), "left").drop(f"{name}_v").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
 def octaves(c: Column, steps: int = 8) -> Column:
@@ -100,7 +117,10 @@ def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry:
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", shards: int = SHARDS) -> DataFrame:
     """Writes all columns as Parquet, a folder per shard in slot order; returns the manifest for pruning."""
     size = F.octet_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))) + 1
-    out = assign(docs, [bucket(F.col(f"`{source}`")), bucket(F.col(f"`{lang}`")), octaves(size)], [F.col(f"`{doc_id}`"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])], [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), size.alias("bytes")], shards)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(doc.alias("doc"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"), size.alias("bytes"))
+    rows = bucketed(bucketed(rows, "source", "source_cell"), "lang", "lang_cell")
+    out = assign(rows, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("bytes"))], [F.col(f"doc.`{doc_id}`"), F.xxhash64("doc")], [F.col("doc"), F.col("bytes")], shards)
     out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").select("doc.*", F.col("shard").alias("__shard"), F.col("slot").alias("__slot")).write.partitionBy("__shard").parquet(path)
     stats = [f(F.col(f"doc.`{c}`")).alias(f"{n}_{c}") for c in (source, lang) for n, f in (("min", F.min), ("max", F.max))]
     return out.groupBy("shard").agg(F.count("*").alias("rows"), F.min("bytes").alias("min_bytes"), F.max("bytes").alias("max_bytes"), *stats)
@@ -112,5 +132,6 @@ def op6(spark, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select("doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     carry = [F.col("doc_id"), F.col("size"), F.col("text_crc32")]
-    out = assign(docs, [bucket(F.col("source")), bucket(F.col("lang")), octaves(F.col("size"))], carry, carry)
+    docs = bucketed(bucketed(docs, "source", "source_cell"), "lang", "lang_cell")
+    out = assign(docs, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("size"))], carry, carry)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")

@@ -208,7 +208,8 @@ def test_shards(spark, rows):
     assert sorted(h) == list(range(512)) and (np.abs(np.diff(grid[:, np.argsort(h)], axis=1)).sum(0) == 1).all()
     docs = frame(spark, rows)
     key = [F.col("doc_id"), F.crc32(F.coalesce("text", F.lit("")))]
-    out = shards.assign(docs, [shards.bucket(F.col("source")), shards.bucket(F.col("lang"))], key, [F.col("doc_id")], 16).collect()
+    docs = shards.bucketed(shards.bucketed(docs, "source", "a"), "lang", "b")
+    out = shards.assign(docs, [F.col("a"), F.col("b")], key, [F.col("doc_id")], 16).collect()
     per = {}
     for r in out:
         per.setdefault(r.shard, []).append(r.slot)
@@ -224,6 +225,19 @@ def test_shard_files(spark, rows, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s")).count() == len(rows)
 
 
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_manifest_prunes(spark, tmp_path, few, monkeypatch):
+    """A predicate on a source or language touches little more than the shards that hold it."""
+    monkeypatch.setattr(shards, "CATEGORIES", few)
+    rng = random.Random(13)
+    docs = [(i, prose(rng, rng.choice([5, 20, 80, 300])), rng.choice(["de", "en", "fr", None]), f"{chr(97 + rng.randrange(20))}-site") for i in range(3000)]
+    manifest = shards.write_shards(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), str(tmp_path / "s"))
+    held = spark.read.parquet(str(tmp_path / "s")).select("source", F.col("__shard").alias("shard")).distinct().collect()
+    rows = manifest.collect()
+    touched = sum(r.min_source <= s <= r.max_source for s in {h.source for h in held} for r in rows)
+    assert touched <= 1.3 * len(held) and touched < 0.5 * 20 * 16
+
+
 def test_secrets(spark, rows):
     out = {}
     for r in secrets.find_secrets(frame(spark, rows)).collect():
@@ -365,6 +379,30 @@ def test_resampling(spark):
     assert none.where("log_weight != 0").count() == 0
 
 
+def test_weights_are_ratios_of_two_models(spark):
+    rng = random.Random(4)
+    docs = [(i, prose(rng, rng.choice([5, 40, 90]))) for i in range(60)] + [(60, None), (61, "")]
+    good, buckets = set(range(0, 60, 3)), 512
+    per = {}
+    for d, t in docs:
+        w = brute.LOW_WORD.findall(brute.lower(t))
+        b, _ = resample.grams(pa.array([t or ""]), buckets)
+        assert len(b) == max(0, 2 * len(w) - 1)
+        per[d] = b
+    raw = np.bincount(np.concatenate(list(per.values())), minlength=buckets)
+    target = np.bincount(np.concatenate([per[d] for d in good]), minlength=buckets)
+    lean = resample.LEAN
+    p = (target + lean) / (target.sum() + lean * buckets)
+    q = (raw + lean * raw.sum() / target.sum()) / (raw.sum() * (1 + lean * buckets / target.sum()))
+    assert p.sum() == pytest.approx(1) and q.sum() == pytest.approx(1)
+    labels = spark.createDataFrame([(d, 1, 0) for d in good], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in resample.score(frame(spark, docs), labels, buckets=buckets).collect()}
+    for d, b in per.items():
+        want = np.log(p[b] / q[b]).sum() * resample.SCALE / (len(b) + resample.SHRINK)
+        assert got[d].log_weight == pytest.approx(want) and got[d].n_grams == len(b)
+        assert got[d].key == pytest.approx(want + resample.gumbel(np.array([d]), resample.SEED)[0])
+
+
 def test_top_k_by_digits(spark):
     rng = random.Random(1)
     values = [rng.gauss(0, 30) for _ in range(500)] + [1.5] * 20
@@ -396,7 +434,7 @@ def test_empty_tables(spark):
     assert warc.records(payloads, headers).count() == 0
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert resample.resample(e, labels).count() == 0
-    assert shards.assign(e, [shards.bucket(F.col("lang"))], [F.col("doc_id")], [F.col("doc_id")]).count() == 0
+    assert shards.assign(shards.bucketed(e, "lang", "cell"), [F.col("cell")], [F.col("doc_id")], [F.col("doc_id")]).count() == 0
 
 
 def test_share_comes_from_labels(spark):
