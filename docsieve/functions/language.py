@@ -17,9 +17,9 @@ MIN_HITS = 3
 WORDS = r"[^\p{L}]+"
 
 
-def hits(text: Column, code: str) -> Column:
-    words = F.split(F.lower(text), WORDS)
-    return F.size(F.filter(words, lambda w: w.isin(*FUNCTION_WORDS[code])))
+def _let(x: Column, f) -> Column:
+    """``f(x)`` with ``x`` evaluated once, however often ``f`` names it."""
+    return F.transform(F.array(x), f)[0]
 
 
 def detect(text: Column) -> Column:
@@ -27,13 +27,23 @@ def detect(text: Column) -> Column:
 
     Reliable: enough hits, and half as many again as the runner-up.  Nulls and texts
     without hits are not reliable and have no languages."""
-    counted = F.array(*[F.struct(hits(text, c).alias("score"), F.lit(c).alias("code"), F.lit(NAMES[c]).alias("name")) for c in sorted(FUNCTION_WORDS)])
-    total = F.aggregate(counted, F.lit(0), lambda a, x: a + x["score"])
-    ranked = F.array_sort(F.filter(counted, lambda x: x["score"] > 0), lambda a, b: F.when(a["score"] != b["score"], b["score"] - a["score"]).otherwise(F.when(a["code"] < b["code"], -1).otherwise(1)))
-    languages = F.transform(ranked, lambda x: F.struct(x["name"].alias("name"), x["code"].alias("code"), F.floor(100 * x["score"] / total).cast("int").alias("percent"), x["score"].cast("double").alias("score")))
-    top, next_ = F.try_element_at(languages, F.lit(1)), F.try_element_at(languages, F.lit(2))
-    reliable = F.coalesce((top["score"] >= MIN_HITS) & (top["score"] * 2 >= F.coalesce(next_["score"], F.lit(0.0)) * 3), F.lit(False))
-    return F.struct(reliable.alias("reliable"), languages.alias("languages"))
+
+    def ranked(counted: Column) -> Column:
+        total = F.aggregate(counted, F.lit(0), lambda a, x: a + x["score"])
+        order = F.array_sort(F.filter(counted, lambda x: x["score"] > 0), lambda a, b: F.when(a["score"] != b["score"], b["score"] - a["score"]).otherwise(F.when(a["code"] < b["code"], -1).otherwise(1)))
+        return F.transform(order, lambda x: F.struct(x["name"].alias("name"), x["code"].alias("code"), F.floor(100 * x["score"] / total).cast("int").alias("percent"), x["score"].cast("double").alias("score")))
+
+    def judged(languages: Column) -> Column:
+        top, next_ = F.try_element_at(languages, F.lit(1)), F.try_element_at(languages, F.lit(2))
+        reliable = F.coalesce((top["score"] >= MIN_HITS) & (top["score"] * 2 >= F.coalesce(next_["score"], F.lit(0.0)) * 3), F.lit(False))
+        return F.struct(reliable.alias("reliable"), languages.alias("languages"))
+
+    def counts(words: Column) -> Column:
+        own = lambda c: F.size(F.filter(words, lambda w: w.isin(*FUNCTION_WORDS[c])))
+        return F.array(*[F.struct(own(c).alias("score"), F.lit(c).alias("code"), F.lit(NAMES[c]).alias("name")) for c in sorted(FUNCTION_WORDS)])
+
+    counted = _let(F.split(F.lower(text), WORDS), counts)
+    return _let(_let(counted, ranked), judged)
 
 
 def passes_gate(detected: Column, code: str, percent: int) -> Column:

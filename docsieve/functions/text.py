@@ -17,10 +17,15 @@ UNKNOWN_TAG = "NND"
 def tokenize(text: Column) -> Column:
     """Lower-cased words in order, with ``#`` where a word carried punctuation at an edge.
 
-    A word with punctuation inside is left out; nothing marks its place."""
-    words = F.filter(F.split(F.lower(text), SPACE), lambda w: w.rlike(WORD))
-    edge = lambda w, i: F.when(F.regexp_extract(w, WORD, i) != "", F.lit(SEPARATOR))
-    return F.filter(F.flatten(F.transform(words, lambda w: F.array(edge(w, 1), F.regexp_extract(w, WORD, 2), edge(w, 3)))), lambda t: t.isNotNull())
+    A word with punctuation inside is left out; nothing marks its place.  Three
+    replacements over the whole text: words that are not one run of word characters
+    between edges go, edges before and edges behind become ``#``."""
+    inside, edge = SPACE[1:-1], f"[^a-zA-Z0-9{SPACE[1:-1]}]"
+    begin, end = f"(?<![^{inside}])", f"(?![^{inside}])"
+    whole = F.regexp_replace(F.lower(text), f"{begin}(?!{edge}*\\w+{edge}*{end})[^{inside}]+", "")
+    front = F.regexp_replace(whole, f"{begin}{edge}+(?=\\w+{edge}*{end})", "# ")
+    marked = F.regexp_replace(front, f"(\\w++){edge}+{end}", "$1 #")
+    return F.array_remove(F.split(marked, f"{SPACE}+"), "")
 
 
 def word_tokens(text: Column, lower: bool = False) -> Column:

@@ -12,7 +12,7 @@ from docsieve.plans import session
 from docsieve.sources import corpus, sinks
 from docsieve.streaming import jobs
 
-GOOD = '<?xml version="1.0"?><!DOCTYPE data SYSTEM "my.dtd"><xpath xml:lang="FR"><to><my><infos>tre</infos><main><i>N</i> a <b>end</b></main><number>1234.7</number><title/><p>x</p><p k="t">y</p></my></to></xpath>'
+GOOD = '<?xml version="1.0"?><!DOCTYPE herbarium SYSTEM "plants.dtd"><herbarium region="alps"><sheet no="12"><plant>Arnica <em>montana</em></plant><height>43.9</height><pressed/><note>dry meadow</note><note lang="de">selten</note></sheet></herbarium>'
 
 
 def one(spark, text, *cols):
@@ -21,14 +21,15 @@ def one(spark, text, *cols):
 
 def test_typed_values(spark):
     x = xml.safe(F.col("x"))
-    items = [("String", "/xpath/to/my/main"), ("Number", "//number"), ("Boolean", "//title"), ("Boolean", "//none"), ("Count", "//p"), ("Count", "//none"), ("Attribute", "/xpath/@xml:lang"), ("String", "//none"), ("Number", "//infos")]
-    assert list(one(spark, GOOD, *[xml.xpath_value(x, k, p).alias(str(i)) for i, (k, p) in enumerate(items)])) == ["N a end", 1234, True, False, 2, 0, "FR", None, None]
+    items = [("String", "/herbarium/sheet/plant"), ("Number", "//height"), ("Boolean", "//pressed"), ("Boolean", "//none"), ("Count", "//note"), ("Count", "//none"), ("Attribute", "/herbarium/@region"), ("String", "//none"), ("Number", "//plant")]
+    assert list(one(spark, GOOD, *[xml.xpath_value(x, k, p).alias(str(i)) for i, (k, p) in enumerate(items)])) == ["Arnica montana", 43, True, False, 2, 0, "alps", None, None]
 
 
 def test_metadata_rules(spark):
-    items = [{"name": "a", "type": "String", "xpath": "//infos", "regex": "^z"}, {"name": "b", "type": "String", "xpath": "//infos", "regex": "r"}, {"name": "c", "type": "String", "xpath": ["//none", "//infos"], "regex": "^z"}, {"name": "d", "type": "Count", "xpath": ["//none", "//p"]}]
+    items = [{"name": "a", "type": "String", "xpath": "//plant", "regex": "^z"}, {"name": "b", "type": "String", "xpath": "//plant", "regex": "mont"}, {"name": "c", "type": "String", "xpath": ["//none", "//plant"], "regex": "^z"}, {"name": "d", "type": "Count", "xpath": ["//none", "//note"]}]
     r = xml.with_metadata(spark.createDataFrame([(GOOD,)], "x string").select(xml.safe(F.col("x")).alias("x")), "x", items).first()
-    assert (r.a, r.aIsValid, r.aError, r.b, r.bIsValid, r.bError, r.c, r.d) == (None, False, "tre", "tre", True, None, "tre", 0)
+    plant = "Arnica montana"
+    assert (r.a, r.aIsValid, r.aError, r.b, r.bIsValid, r.bError, r.c, r.d) == (None, False, plant, plant, True, None, plant, 0)
 
 
 @pytest.mark.parametrize("text", ["<a><b></a>", "", None, "plain", "<a/><b/>", "<a x=1/>"])
@@ -40,14 +41,14 @@ def test_bad_documents_never_fail(spark, text):
 def test_doctype(spark):
     assert tuple(one(spark, '<!DOCTYPE a PUBLIC "p" "s"><a/>', xml.doctype(F.col("x")))[0]) == ("a", "p", "s")
     assert one(spark, "<a/>", xml.doctype(F.col("x")))[0] is None
-    assert one(spark, GOOD, xml.doctype(F.col("x")))[0].sysid == "my.dtd"
+    assert one(spark, GOOD, xml.doctype(F.col("x")))[0].sysid == "plants.dtd"
 
 
 def test_selectors(spark):
     x = xml.safe(F.col("x"))
-    assert one(spark, GOOD, xml.select_text(x, "my > p"))[0] == "xy"
-    assert one(spark, GOOD, xml.select_text(x, 'p[k="t"]'))[0] == "y"
-    assert one(spark, GOOD, xml.select_texts("my p")(x))[0] == ["x", "y"]
+    assert one(spark, GOOD, xml.select_text(x, "sheet > note"))[0] == "dry meadowselten"
+    assert one(spark, GOOD, xml.select_text(x, 'note[lang="de"]'))[0] == "selten"
+    assert one(spark, GOOD, xml.select_texts("sheet note")(x))[0] == ["dry meadow", "selten"]
     assert xml.selector_path("a b:nth-child(2) > c.d") == "//a//b[count(preceding-sibling::*)=1]/c[contains(concat(' ',@class,' '),' d ')]"
 
 
@@ -111,16 +112,16 @@ def test_session_end_to_end(spark, tmp_path):
     (src / "b b.txt").write_text("alpha beta alpha beta")
     (src / "c.pdf").write_bytes(a_pdf("x y"))
     (src / "broken.xml").write_text('<?xml version="1.0"?><a><b></a>')
-    tables = corpus.category_table(spark, {"t": {"tre": [[{"level": 1, "value": "v"}]]}})
-    config = session.SessionConfig("corpus", str(tmp_path / "src"), str(tmp_path / "out"), metadata=({"name": "infos", "type": "String", "xpath": "//infos"},), category_tables=tables, categorizations=({"id": "t", "identifier": "my > infos"},))
+    tables = corpus.category_table(spark, {"t": {"43.9": [[{"level": 1, "value": "v"}]]}})
+    config = session.SessionConfig("corpus", str(tmp_path / "src"), str(tmp_path / "out"), metadata=({"name": "height", "type": "String", "xpath": "//height"},), category_tables=tables, categorizations=({"id": "t", "identifier": "sheet > height"},))
     session.run(spark, config.selected(["filetype", "lang", "pdf", "xml", "xpaths", "keyterms", "categories", "out"]))
     rows = {r["name"]: r for r in map(json.loads, (x for f in (tmp_path / "out" / "analyse-corpus.json").glob("part-*") for x in f.read_text().splitlines()))}
-    assert rows["a.xml"]["isWellFormed"] and rows["a.xml"]["infos"] == "tre" and rows["a.xml"]["matched"]
+    assert rows["a.xml"]["isWellFormed"] and rows["a.xml"]["height"] == "43.9" and rows["a.xml"]["matched"]
     assert rows["broken.xml"]["isWellFormed"] is False and rows["broken.xml"]["wellFormedErrors"][0]["line"] == 1
     assert rows["b b.txt"]["mimetype"] == "text/plain" and rows["b b.txt"]["keywords"][0]["term"] == "alpha"
     assert rows["c.pdf"]["pdfPageTotal"] == 1 and rows["c.pdf"]["extension"] == ".pdf"
     lines = [x for f in (tmp_path / "out" / "xpaths" / "xpaths.csv").glob("part-*") for x in f.read_text().splitlines()]
-    assert "/xpath/to/my/p;2;k" in lines
+    assert "/herbarium/sheet/note;2;lang" in lines
 
 
 def test_stage_lists():

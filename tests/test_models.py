@@ -62,8 +62,8 @@ def test_self_naming_category_ends(spark):
 
 
 def test_categories(spark):
-    tables = corpus.category_table(spark, {"t": {"0049-4488": [[{"level": 1, "value": "x"}], [{"level": 1, "value": "y"}]]}})
-    ids = spark.createDataFrame([(1, 0, "t", "0049-4488"), (2, 0, "t", "bad"), (3, 0, "t", ""), (3, 1, "t", "0049-4488"), (4, 0, "t", None)], "doc_id long, ord int, table_id string, identifier string")
+    tables = corpus.category_table(spark, {"t": {"2718-2818": [[{"level": 1, "value": "x"}], [{"level": 1, "value": "y"}]]}})
+    ids = spark.createDataFrame([(1, 0, "t", "2718-2818"), (2, 0, "t", "bad"), (3, 0, "t", ""), (3, 1, "t", "2718-2818"), (4, 0, "t", None)], "doc_id long, ord int, table_id string, identifier string")
     out = {r.doc_id: r for r in categories.look_up(ids, tables).collect()}
     assert len(out[1].categories) == 2 and out[1].matched
     assert not out[2].matched and not out[2].missing

@@ -12,12 +12,30 @@ def tokens(spark, s):
 
 
 def test_tokenize(spark):
-    assert len(tokens(spark, "This is a test, so why did you read it?")) == 12
+    assert tokens(spark, "We rowed home, then (late) slept!") == ["we", "rowed", "home", "#", "then", "#", "late", "#", "slept", "#"]
     assert tokens(spark, "") == []
     assert tokens(spark, None) is None
     assert tokens(spark, "été well-known (x) a b") == ["#", "t", "#", "#", "x", "#", "a", "b"]
 
 
+def test_tokenize_word_by_word(spark):
+    """Every short word over letters, digits, punctuation, underscores and other scripts, one at a time and together."""
+    import itertools
+    import re
+
+    word = re.compile(r"^([^a-zA-Z0-9]*)(\w+)([^a-zA-Z0-9]*)$", re.A | re.S)
+    words = ["".join(w) for n in range(1, 5) for w in itertools.product("aB0_-é#", repeat=n)]
+
+    def plain(w):
+        m = word.match(w.lower())
+        return [] if m is None else ["#"] * bool(m[1]) + [m[2]] + ["#"] * bool(m[3])
+
+    got = spark.createDataFrame([(w,) for w in words] + [("  \n ".join(words),), (" \ufeff\u00a0a,\u3000b\x0b",)], "t string").select("t", X.tokenize(F.col("t")).alias("k")).collect()
+    for r in got[:-2]:
+        assert r.k == plain(r.t), r.t
+    assert got[-2].k == [k for w in words for k in plain(w)] and got[-1].k == ["a", "#", "b"]
+
+
 def test_sanitize(spark):
     out = spark.createDataFrame([(["this", "is", "a", "sample", "test", "a1b2c"],)], "t array<string>").select(X.sanitize(F.col("t"), ["test"])).first()[0]
     assert out == ["this", "#", "#", "sample", "#", "#"]
