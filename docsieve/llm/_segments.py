@@ -17,7 +17,7 @@ import pyarrow as pa
 from ._util import buffers
 from ._words import _BASE, _BASE2, U, _powers_of, mix
 
-CACHE = 250_000
+CACHE = 500_000
 
 
 class SegmentEncoder:
