@@ -155,9 +155,9 @@ select item_id, level, e.code, round(score, 6) as probability, verbalization fro
     "xml_metadata": _ORD + """ select o_orderkey,
 case when ok and regexp_matches(o_orderstatus, '^[OF]$') then o_orderstatus end as status, case when ok then regexp_matches(o_orderstatus, '^[OF]$') end as "statusIsValid", case when ok and not regexp_matches(o_orderstatus, '^[OF]$') then o_orderstatus end as "statusError",
 case when ok then cast(o_orderkey as varchar) end as id, case when ok then 'en' end as lang, case when ok then cast(floor(o_totalprice) as bigint) end as price, case when ok then o_orderkey % 3 = 0 end as "hasPrio", case when ok then cast(4 as bigint) end as elements,
-case when ok then case when o_orderkey % 3 = 0 then o_orderpriority else cast(o_custkey as varchar) end end as first from o where ok""",
+case when ok then case when o_orderkey % 3 = 0 then o_orderpriority else cast(o_custkey as varchar) end end as first from o""",
     "xml_wellformed": _ORD + """ select o_orderkey, ok as "isWellFormed", not ok as "hasErrors", case when o_orderkey % 11 <> 0 then 'order.dtd' end as sysid from o""",
-    "xml_dtd_validate": _ORD + """ select o_orderkey, o_orderkey % 5 <> 0 as "isValidAgainstDTD" from o where ok""",
+    "xml_dtd_validate": _ORD + """ select o_orderkey, case when ok then o_orderkey % 5 <> 0 end as "isValidAgainstDTD" from o""",
     "css_select_text": _ORD + " select o_orderkey, case when ok then cast(o_custkey as varchar) else '' end as cust, case when ok then o_orderstatus else '' end as status from o",
     "xpath_inventory": """select '/order' as xpath, count(distinct l_orderkey) as "countElement", '' as attributes from lineitem
 union all select '/order/line', count(*), case when bool_or(l_returnflag = 'R') then 'no,returned' else 'no' end from lineitem union all select '/order/line/qty', count(*), '' from lineitem""",
