@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import keyed, materialise, read_table
+from ._util import keyed, materialise, new_folder, read_table
 
 SHARDS = 16
 BITS = 8
@@ -114,24 +114,40 @@ def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry:
     return ranked.select("row.*", "hilbert", "shard", (F.col("rank") - begin).cast("long").alias("slot"))
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores behind it until no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source", shards: int = SHARDS) -> DataFrame:
-    """Writes all columns as Parquet, a folder per shard in slot order; returns the manifest for pruning."""
+    """Writes all columns as Parquet, a folder ``__shard=N`` per shard; returns the manifest for pruning.
+
+    Columns ``__slot`` and ``__hilbert`` are added.  Where the input has columns of these three
+    names, underscores are added to the new ones.  Texts cross the network once, in the sort
+    along the curve: its partitions are runs of that order already, so each is cut at the shard
+    boundaries where it lies and written as files sorted by slot."""
     size = F.octet_length(F.coalesce(F.col(f"`{text}`"), F.lit(""))) + 1
+    shard, slot, curve = (free_name(n, docs.columns) for n in ("__shard", "__slot", "__hilbert"))
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(doc.alias("doc"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"), size.alias("bytes"))
     rows = bucketed(bucketed(rows, "source", "source_cell"), "lang", "lang_cell")
     out = assign(rows, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("bytes"))], [F.col(f"doc.`{doc_id}`"), F.xxhash64("doc")], [F.col("doc"), F.col("bytes")], shards)
-    out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").select("doc.*", F.col("shard").alias("__shard"), F.col("slot").alias("__slot")).write.partitionBy("__shard").parquet(path)
+    out.sortWithinPartitions("shard", "slot").select("doc.*", F.col("hilbert").alias(curve), F.col("shard").alias(shard), F.col("slot").alias(slot)).write.partitionBy(shard).parquet(path)
     stats = [f(F.col(f"doc.`{c}`")).alias(f"{n}_{c}") for c in (source, lang) for n, f in (("min", F.min), ("max", F.max))]
     return out.groupBy("shard").agg(F.count("*").alias("rows"), F.min("bytes").alias("min_bytes"), F.max("bytes").alias("max_bytes"), *stats)
 
 
 def op6(spark, sf_dir: str) -> DataFrame:
-    """Contract query over all of ``documents``."""
+    """Contract query over all of ``documents``: the shards are written, and every column comes from the files read back."""
     docs = keyed(read_table(spark, sf_dir, "documents"), "doc_id", "text", "lang", "source")
+    path = new_folder(spark, "shards")
+    write_shards(docs, path)
+    types = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = ", ".join([*(f"{c} {t}" for c, t in types.items()), "__hilbert long, __slot long, __shard int"])
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = docs.select("doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    carry = [F.col("doc_id"), F.col("size"), F.col("text_crc32")]
-    docs = bucketed(bucketed(docs, "source", "source_cell"), "lang", "lang_cell")
-    out = assign(docs, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("size"))], carry, carry)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+    columns = [F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law")]
+    columns += [F.col("__shard").alias("shard"), F.col("__slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), F.col("__hilbert").alias("hilbert")]
+    return spark.read.schema(schema).parquet(path).select(*columns)
