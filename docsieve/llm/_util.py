@@ -8,6 +8,7 @@ tests), so every executor sees them and a lost executor costs a task retry only.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import tempfile
 import uuid
@@ -132,6 +133,19 @@ class RangeReader:
         self._f.close()
 
 
+# ---------------------------------------------------------------- memory of workers
+def trim() -> None:
+    """Gives freed memory back to the system, where the C library can.
+
+    Python workers live on from stage to stage, and what one stage freed would stay
+    reserved beside what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library: nothing to trim
+        return
+
+
 # ---------------------------------------------------------------- Arrow helpers
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A string column, nulls as empty texts."""

@@ -27,10 +27,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ._segments import SegmentEncoder
-from ._util import chunks, column, keyed, read_table
+from ._util import chunks, column, keyed, read_table, trim
 
 _SPACE = "▁"
-_BLOCK = 2 << 20
+_BLOCK = 512 << 10  # bytes of text cut and gathered at once
+_JOINED = 1 << 17  # characters whose suffixes are sorted at once
+_CACHE = 250_000
 _LONG = 48  # characters from which a segment is merged with a heap of its own
 _models: dict[str, "PieceModel"] = {}
 
@@ -77,12 +79,19 @@ class PieceModel:
         self.bytes = {int(pieces[i][3:5], 16): i for i, k in enumerate(kinds) if k == 6}
         many = [p for p in self.ids if len(p) > 1]
         self.depth = max((len(p) for p in many), default=1)
-        self.many = sorted(many)
+        many.sort()
+        self.size = np.array([len(p) for p in many], np.int64)
+        self.piece = np.array([self.ids[p] for p in many], np.int64)
+        #: the longer pieces as a matrix of ranks among their own characters, filled up with -1
+        self.chars = np.unique(np.array([ord(c) for p in many for c in p], np.int64))
+        self.spelled = np.full((len(many), self.depth), -1, np.int32)
+        inside = np.arange(self.depth) < self.size[:, None]
+        self.spelled[inside] = np.searchsorted(self.chars, np.array([ord(c) for p in many for c in p], np.int64))
         #: no piece has a space behind another character, and these characters are in no longer piece
         self.cut_spaces = not any(_SPACE in p.lstrip(_SPACE) for p in many)
         joined = {c for p in many for c in p}
         self.alone = [c for c in "\n\t\r" if c not in joined]
-        self.encoder = SegmentEncoder(self._encode, self._cuts, np.int32)
+        self.encoder = SegmentEncoder(self._encode, self._cuts, np.int32, _CACHE)
         table = [b"" if k in (2, 3) else bytes([int(p[3:5], 16)]) if k == 6 else p.replace(_SPACE, " ").encode() for p, k in zip(pieces, kinds)]
         table[self.unknown] = " ⁇ ".encode()
         self.surface = table
@@ -141,20 +150,20 @@ class PieceModel:
         padded[: len(text)] = code + 1
         keys = np.lib.stride_tricks.sliding_window_view(padded, depth)[order]
         keys = np.ascontiguousarray(keys).view(f"S{depth * width.itemsize}").ravel()
-        known = {chr(c): i + 1 for i, c in enumerate(alphabet.tolist()) if c < 0x110000}
-        found = [(p, [known.get(c) for c in p]) for p in self.many]
-        found = [(p, c) for p, c in found if None not in c]
-        if not found:
+        # The text's code of each character of the pieces, 0 where the text lacks it.
+        near = np.minimum(np.searchsorted(alphabet, self.chars), len(alphabet) - 1)
+        codes = np.append(np.where(alphabet[near] == self.chars, near + 1, 0), -1)
+        spelled = codes[self.spelled]
+        found = np.flatnonzero((spelled != 0).all(1))
+        if not len(found):
             return (np.zeros(0, np.int64),) * 3
-        low = np.zeros((len(found), depth), width)
-        high = np.full((len(found), depth), np.iinfo(width.newbyteorder("=")).max, width)
-        for i, (_, c) in enumerate(found):
-            low[i, : len(c)] = high[i, : len(c)] = c
+        spelled = spelled[found]
+        low = np.maximum(spelled, 0).astype(width)
+        high = np.where(spelled < 0, np.iinfo(width.newbyteorder("=")).max, spelled).astype(width)
         lo = np.searchsorted(keys, low.view(keys.dtype).ravel(), side="left")
         hi = np.searchsorted(keys, high.view(keys.dtype).ravel(), side="right")
         n = hi - lo
-        size = np.array([len(p) for p, _ in found])
-        ids = np.array([self.ids[p] for p, _ in found])
+        size, ids = self.size[found], self.piece[found]
         at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         start, length, piece = order[at], np.repeat(size, n), np.repeat(ids, n)
         by = np.argsort(start, kind="stable")
@@ -166,7 +175,7 @@ class PieceModel:
         i = 0
         while i < len(texts):  # blocks of bounded size; one segment may exceed it alone
             j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= 1 << 18):
+            while j < len(texts) and (j == i or size + len(texts[j]) <= _JOINED):
                 size += len(texts[j])
                 j += 1
             out += self._block(texts[i:j])
@@ -347,10 +356,12 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
     keep = [f.name for f in docs.schema if f.name != ids]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         m = PieceModel.load(model)
         for batch in it:
             for part, col in chunks(batch, text, _BLOCK):
                 flat, rows = m.rows(col)
+                trim()
                 out = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.record_batch([*[column(part, c) for c in keep], out], names=[*keep, ids])
 
@@ -380,10 +391,12 @@ def summary(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "te
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         m = PieceModel.load(model)
         for batch in it:
             for part, col in chunks(batch, text, _BLOCK):
                 flat, rows = m.rows(col)
+                trim()
                 flat = flat.astype("<i4")
                 own = [flat[a:b] for a, b in zip(rows[:-1], rows[1:])]
                 same = [m.decode(x) == t.replace(_SPACE, " ") for x, t in zip(own, col.to_pylist())]
