@@ -174,13 +174,18 @@ def bayes_guess(spark, d):
     return bayes.guess(_scores(spark, d)).select(F.col("doc_id").alias("item_id"), "pool", F.round("score", 6).alias("score"))
 
 
-def bayes_cascade(spark, d):
+def _cascade_model(spark, d):
     docs = table(spark, d, "documents")
     first = bayes.probabilities(bayes.train_counts(_by_lang(spark, d))).withColumn("training", F.lit("entry"))
     english = docs.where("lang = 'en'").select(F.when(F.col("source") < "src5", "low").otherwise("high").alias("pool"), "text")
     second = bayes.probabilities(bayes.train_counts(english)).withColumn("training", F.lit("en"))
     labels = spark.createDataFrame([("en", "English"), ("low", "Low sources"), ("high", "High sources")], "code string, verbalization string")
-    out = bayes.cascade(table(spark, d, "benchmark"), first.unionByName(second), labels, depth=3, doc_id="item_id")
+    return first.unionByName(second), labels
+
+
+def bayes_cascade(spark, d):
+    model, labels = _cascade_model(spark, d)
+    out = bayes.cascade(table(spark, d, "benchmark"), model, labels, depth=3, doc_id="item_id")
     return out.select(F.col("doc_id").alias("item_id"), "level", "code", F.round("probability", 6).alias("probability"), "verbalization")
 
 
@@ -311,6 +316,44 @@ def enrichment_render(spark, d):
     return docs.select("doc_id", sinks.render(TEMPLATE, F.col("data")).alias("rendered"))
 
 
+# ---------------------------------------------------------------- sessions
+def _as_corpus(ids_and_xml: DataFrame) -> DataFrame:
+    """(path, text) in the shape of a walked corpus."""
+    return ids_and_xml.select(F.col("path").cast("string"), F.col("path").cast("string").alias("name"), "text")
+
+
+def _element(name: str, c):
+    return F.concat(F.lit(f"<{name}>"), _escape(c), F.lit(f"</{name}>"))
+
+
+def session_bayes(spark, d):
+    """The cascade of ``bayes_cascade`` through a session: items as XML, the text by a selector."""
+    model, labels = _cascade_model(spark, d)
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("path"), F.concat(F.lit('<?xml version="1.0"?><item>'), _element("text", F.col("text")), F.lit("</item>")).alias("text"))
+    config = session.SessionConfig("corpus", "benchmark", stages=("filetype", "xml", "bayes"), bayes_model=model, bayes_labels=labels, bayes_selector="item > text")
+    out = session.run(spark, config, _as_corpus(items)).select("path", F.inline("bayes"))
+    return out.select(F.col("path").alias("item_id"), "level", "code", F.round("probability", 6).alias("probability"), "verbalization")
+
+
+def session_segments(spark, d):
+    """Keywords of the turns of conversations through a session: conversations as XML, turns and title by selectors."""
+    c = spread(table(spark, d, "conversations")).select("conv_id", "turn", F.when(F.col("turn") == 0, _element("title", F.col("text"))).otherwise(_element("turn", F.col("text"))).alias("x"))
+    one = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "x"))), lambda t: t["x"]), "")
+    docs = c.groupBy(F.col("conv_id").alias("path")).agg(F.concat(F.lit('<?xml version="1.0"?><talk>'), one, F.lit("</talk>")).alias("text"))
+    config = session.SessionConfig("corpus", "conversations", stages=("filetype", "xml", "segments"), resources=_resources(), segments=(("turn", "talk > turn"),), title="talk > title")
+    out = session.run(spark, config, _as_corpus(docs)).select("path", F.inline("segmentKeywords"))
+    return out.select(F.col("path").cast("long").alias("doc_id"), "term", F.size("segments").cast("long").alias("n_segments"), "total", F.round("factor", 6).alias("factor"))
+
+
+def session_validation(spark, d):
+    """Orders against a list of two DTDs: the name of the one that fits, and the number of errors of the others."""
+    docs = _orders_xml(spark, d).select(F.col("o_orderkey").alias("path"), F.concat(F.lit('<?xml version="1.0"?>'), F.when(F.col("o_orderkey") % 5 == 0, F.regexp_replace("xml", "<price>.*</price>", "")).otherwise(F.col("xml"))).alias("text"))
+    without = DTD.replace("(status, price, ", "(status, ")
+    config = session.SessionConfig("corpus", "orders", stages=("filetype", "xml", "validation"), dtds=(("priced", DTD), ("free", without)))
+    out = session.run(spark, config, _as_corpus(docs))
+    return out.select(F.col("path").cast("long").alias("o_orderkey"), F.col("validDTD").alias("valid_dtd"), F.col("DTDErrors")[0]["name"].alias("broken_dtd"), F.size(F.col("DTDErrors")[0]["errors"]).cast("long").alias("n_errors"))
+
+
 def stem_words(spark, d):
     words = _docs(spark, d).select(F.explode(text.tokenize(F.col("text"))).alias("token")).where("token != '#'").distinct()
     return words.select("token", text.stem(F.col("token")).alias("stem"))
@@ -322,6 +365,7 @@ QUERIES = {
         walk_file_info, filetype_detect, filetype_encoding, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
         keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
         bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, category_lookup, category_abort, config_match,
-        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, enrichment_render, stem_words,
+        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, enrichment_render,
+        session_bayes, session_segments, session_validation, stem_words,
     )
 }

@@ -2,21 +2,26 @@
 
 A run is one lazy plan: ``source -> stage -> ... -> sinks``; Catalyst fuses the narrow
 stages.  A stage takes records and gives records; records it cannot treat keep going
-with an ``error`` and leave by the error frame at the end.
+with an ``error`` and leave by the error frame at the end.  A stage may have a ``prepare``
+hook, which changes the configuration before the chain is built, and a ``finish`` hook,
+which gets the finished records.  Where a selected stage has one, the records are written
+once as a table and the hooks (and the caller) read that table.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import filetype, language, pdf, xml
-from ..operators import categories, keyterms, xpaths
+from ..operators import bayes, categories, keyterms, segments, xpaths
 from ..sources import corpus, sinks
+from ..streaming import jobs
 
 DEFAULT_STAGES = ("walk", "filetype", "pdf", "xml", "keyterms", "categories", "out")
 
@@ -33,6 +38,16 @@ class SessionConfig:
     resources: keyterms.Resources = field(default_factory=keyterms.Resources)
     category_tables: DataFrame | None = None
     categorizations: tuple[dict, ...] = ()
+    dtds: tuple[tuple[str, str], ...] = ()  # name, text
+    schemas: tuple[tuple[str, str], ...] = ()  # name, path on every executor
+    bayes_model: DataFrame | None = None  # training, pool, word, p
+    bayes_labels: DataFrame | None = None  # code, verbalization
+    bayes_selector: str | None = None  # null: the whole text of the document
+    bayes_entry: str = "entry"
+    segments: tuple[tuple[str, str], ...] = ()  # name, selector
+    title: str | None = None  # selector
+    criterion: str = "frequency"
+    templates: tuple[dict, ...] = ()  # label, kind, column, template
 
     def selected(self, names: list[str]) -> SessionConfig:
         """Only the named stages; the walk always comes first."""
@@ -50,13 +65,22 @@ class SessionConfig:
 
 Stage = Callable[[DataFrame, SessionConfig], DataFrame]
 STAGES: dict[str, Stage] = {}
+PREPARE: dict[str, Callable[[SparkSession, SessionConfig], SessionConfig]] = {}
+FINISH: dict[str, Callable[[DataFrame, SessionConfig], None]] = {}
 
+#: The columns that show that a stage treated a record.
+TREATED = {"filetype": "mimetype", "lang": "langDetect", "pdf": "pdfPageTotal", "xml": "isWellFormed", "validation": "validated", "keyterms": "keywords", "segments": "segmentKeywords", "bayes": "bayes", "categories": "matched", "enrich": "enrichments"}
 
-def stage(name: str) -> Callable[[Stage], Stage]:
-    """Registers a stage."""
+
+def stage(name: str, prepare: Callable | None = None, finish: Callable | None = None) -> Callable[[Stage], Stage]:
+    """Registers a stage, maybe with hooks before and after the chain."""
 
     def register(f: Stage) -> Stage:
         STAGES[name] = f
+        if prepare:
+            PREPARE[name] = prepare
+        if finish:
+            FINISH[name] = finish
         return f
 
     return register
@@ -131,30 +155,143 @@ def _categories(docs: DataFrame, config: SessionConfig) -> DataFrame:
     return docs.join(found.withColumnRenamed("doc_id", "path"), "path", "left")
 
 
-@stage("xpaths")
-def _xpaths(docs: DataFrame, config: SessionConfig) -> DataFrame:
-    """Leaves the records as they are; the inventory is written beside them."""
-    good = docs.where((F.col("mimetype") == "application/xml") & F.col("isWellFormed"))
-    xpaths.write_csv(xpaths.inventory(good, "text"), f"{config.output_path}/xpaths/xpaths.csv")
+def _sound_xml(docs: DataFrame) -> Column:
+    """XML found well formed by an earlier stage, or now."""
+    sound = F.col("isWellFormed") if "isWellFormed" in docs.columns else xml.is_well_formed(F.when(F.col("mimetype") == "application/xml", F.col("text")))
+    return F.coalesce((F.col("mimetype") == "application/xml") & sound, F.lit(False))
+
+
+@stage("validation")
+def _validation(docs: DataFrame, config: SessionConfig) -> DataFrame:
+    """Well-formed XML against every DTD and schema of the lists: validDTD and validSchema are the
+    first name that fits (null: none), DTDErrors and schemaErrors hold (name, errors) of all others.
+
+    The schema validator tells one error a document, DTDs at most ten each.  Other records: nulls."""
+    docs = _text(docs)
+    seen = F.when(_sound_xml(docs), xml.strip_doctype(F.col("text")))
+    of = lambda name, errors: F.struct(F.lit(name).alias("name"), errors.alias("errors"))
+    dtds = F.array(*[of(n, xml.dtd_errors(t)(seen)) for n, t in config.dtds])
+    schemas = F.array(*[of(n, F.when(xml.xsd_errors(seen, p), F.array(F.lit(f"does not follow {n}"))).otherwise(F.array().cast("array<string>"))) for n, p in config.schemas])
+    docs = docs.withColumns({"validated": F.when(seen.isNotNull(), F.lit(True)), "_dtds": dtds if config.dtds else F.lit(None), "_schemas": schemas if config.schemas else F.lit(None)})
+    for given, column, valid, errors in ((config.dtds, "_dtds", "validDTD", "DTDErrors"), (config.schemas, "_schemas", "validSchema", "schemaErrors")):
+        if given:
+            fits = F.filter(column, lambda e: F.size(e["errors"]) == 0)
+            docs = docs.withColumns({valid: F.when(F.col("validated"), F.try_element_at(fits, F.lit(1))["name"]), errors: F.when(F.col("validated"), F.filter(column, lambda e: F.size(e["errors"]) > 0))})
+    return docs.drop("_dtds", "_schemas")
+
+
+@stage("bayes")
+def _bayes(docs: DataFrame, config: SessionConfig) -> DataFrame:
+    """``bayes``: the cascade of guesses of well-formed XML, by level; null elsewhere, without a model, or without a guess."""
+    if config.bayes_model is None:
+        return docs
+    docs = _text(docs)
+    gated = docs.where(_sound_xml(docs))
+    words = xml.select_text(xml.safe(F.col("text")), config.bayes_selector) if config.bayes_selector else F.col("text")
+    found = bayes.cascade(gated.select("path", words.alias("text")), config.bayes_model, config.bayes_labels, entry=config.bayes_entry, doc_id="path")
+    each = F.struct(*[c for c in ("level", "code", "probability", "verbalization") if c in found.columns])
+    lists = found.groupBy(F.col("doc_id").alias("path")).agg(F.array_sort(F.collect_list(each)).alias("bayes"))
+    return docs.join(lists, "path", "left")
+
+
+@stage("segments")
+def _segments(docs: DataFrame, config: SessionConfig) -> DataFrame:
+    """``segmentKeywords``: ranked terms of the configured segments of well-formed XML; null elsewhere."""
+    if not config.segments:
+        return docs
+    docs = _text(docs)
+    gated = docs.where(_sound_xml(docs)).select("path", xml.safe(F.col("text")).alias("x"))
+    parts = None
+    for i, (name, selector) in enumerate(config.segments):
+        one = gated.select(F.col("path").alias("doc_id"), F.lit(name).alias("segment"), F.posexplode(xml.select_texts(selector)(F.col("x"))).alias("at", "text"))
+        one = one.select("doc_id", "segment", F.struct(F.lit(i).alias("list"), "at").alias("ord"), "text")
+        parts = one if parts is None else parts.unionAll(one)
+    titles = gated.select(F.col("path").alias("doc_id"), (xml.select_text(F.col("x"), config.title) if config.title else F.lit("")).alias("text"))
+    found = segments.segment_keywords(parts, titles, config.resources, config.criterion)
+    lists = found.groupBy(F.col("doc_id").alias("path")).agg(F.array_sort(F.collect_list(F.struct("rank", "term", "factor", "total", "segments"))).alias("segmentKeywords"))
+    return docs.join(lists, "path", "left")
+
+
+def _write_enrichments(records: DataFrame, config: SessionConfig) -> None:
+    each = records.select("path", F.explode("enrichments").alias("e"))
+    sinks.write_enrichments(each.select("path", "e.label", "e.enrichment.kind", F.col("e.enrichment.output").alias("rendered")), f"{config.output_path}/enrichments")
+
+
+@stage("enrich", finish=_write_enrichments)
+def _enrich(docs: DataFrame, config: SessionConfig) -> DataFrame:
+    """``enrichments``: the result columns of earlier stages through the configured templates.
+
+    A template sees ``doc`` (path, name) and ``result`` (its column); a column that no earlier
+    stage made is left out, a null result gives no enrichment."""
+    if "enrichments" not in docs.columns:
+        docs = docs.withColumn("enrichments", F.array().cast("array<struct<label:string,enrichment:struct<kind:string,output:string>>>"))
+    for t in config.templates:
+        if t["column"] in docs.columns:
+            data = F.struct(F.struct("path", "name").alias("doc"), F.col(t["column"]).alias("result"))
+            docs = docs.withColumn("_out", sinks.render(t["template"], F.when(F.col(t["column"]).isNotNull(), data)))
+            more = sinks.append_enrichment(F.col("enrichments"), t["label"], t["kind"], F.col("_out"))
+            docs = docs.withColumn("enrichments", F.when(F.col("_out").isNull(), F.col("enrichments")).otherwise(more)).drop("_out")
     return docs
 
 
-@stage("out")
+def _write_xpaths(records: DataFrame, config: SessionConfig) -> None:
+    good = records.where(_sound_xml(records))
+    xpaths.write_csv(xpaths.inventory(good, "text"), f"{config.output_path}/xpaths/xpaths.csv")
+
+
+@stage("xpaths", finish=_write_xpaths)
+def _xpaths(docs: DataFrame, config: SessionConfig) -> DataFrame:
+    """Leaves the records as they are; the inventory is written beside them at the end."""
+    return _text(docs)
+
+
+def _write_records(records: DataFrame, config: SessionConfig) -> None:
+    good, bad = split_errors(records) if "error" in records.columns else (records, None)
+    sinks.write_json(good.drop("text"), config.output_path, config.corpusname)
+    if bad is not None:
+        sinks.run_log(bad.select("path", "error"), f"{config.output_path}/errors")
+
+
+@stage("out", finish=_write_records)
 def _out(docs: DataFrame, config: SessionConfig) -> DataFrame:
-    record = docs.drop("content", "text")
-    sinks.write_json(record, config.output_path, config.corpusname)
     return docs
 
 
 def run(spark: SparkSession, config: SessionConfig, docs: DataFrame | None = None) -> DataFrame:
-    """Composes the selected stages over a corpus (walked, unless given)."""
+    """Composes the selected stages over a corpus (walked, unless given).
+
+    Records with an ``error`` pass no later stage; they are kept beside the others."""
     config._checked()
+    for name in config.stages:
+        if name in PREPARE:
+            config = PREPARE[name](spark, config)
     docs = corpus.walk(spark, config.input_path, config.corpusname, config.now) if docs is None else docs
+    failed = None
     for name in config.stages:
         docs = STAGES[name](docs, config)
+        if "error" in docs.columns and name != config.stages[-1]:
+            docs, bad = split_errors(docs)
+            failed = bad if failed is None else failed.unionByName(bad, allowMissingColumns=True)
+    if failed is not None:
+        docs = docs.unionByName(failed, allowMissingColumns=True)
+    finish = [FINISH[name] for name in config.stages if name in FINISH]
+    if finish:
+        path = f"{config.output_path}/records"
+        docs.drop("content").write.mode("overwrite").parquet(path)
+        docs = spark.read.parquet(path)
+        for f in finish:
+            f(docs, config)
     return docs
 
 
+def progress(records: DataFrame, config: SessionConfig) -> DataFrame:
+    """stage, records, treated: how far each selected stage came, in one aggregation."""
+    names = [n for n in config.stages if TREATED.get(n) in records.columns]
+    counts = records.agg(F.count("*").alias("records"), *[F.count(TREATED[n]).alias(n) for n in names])
+    one = F.array(*[F.struct(F.lit(n).alias("stage"), F.col("records"), F.col(n).alias("treated")) for n in names])
+    return counts.select(F.inline(one))
+
+
 def split_errors(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records without, records with an error)."""
     return docs.where(F.col("error").isNull()), docs.where(F.col("error").isNotNull())
@@ -180,16 +317,64 @@ def latest_output(names: list[str]) -> str | None:
     return max(names, default=None)
 
 
-def parse(argv: list[str]) -> SessionConfig:
-    p = argparse.ArgumentParser(description="Analyse a folder of documents.")
-    p.add_argument("path")
-    p.add_argument("-n", "--corpusname", required=True)
+def configure(config: SessionConfig, given: dict) -> SessionConfig:
+    """A configuration with the entries of a JSON file; unknown entries are an error.
+
+    ``dtds`` maps names to DTD texts, ``schemas`` names to paths, ``segments`` names to selectors."""
+    pairs = ("dtds", "schemas", "segments")
+    lists = ("stages", "metadata", "categorizations", "templates")
+    plain = ("now", "bundle", "title", "criterion", "bayes_selector", "bayes_entry")
+    unknown = sorted(set(given) - {*pairs, *lists, *plain})
+    if unknown:
+        raise ValueError(f"unknown entries: {unknown}")
+    values = {k: tuple(v.items()) if k in pairs else tuple(v) if k in lists else v for k, v in given.items()}
+    return replace(config, **values)
+
+
+def parser() -> argparse.ArgumentParser:
+    p = argparse.ArgumentParser(prog="docsieve", description="Analyse a folder of documents.")
+    p.add_argument("path", nargs="?")
+    p.add_argument("-n", "--corpusname")
     p.add_argument("-o", "--output", default="out")
-    p.add_argument("-b", "--bundle", type=int, default=0)
+    p.add_argument("-b", "--bundle", type=int, help="files at a time; 0: all at once")
+    p.add_argument("-c", "--config", help="JSON file with metadata, lists, selectors and templates")
+    p.add_argument("-m", "--model", help="Parquet table of a Bayes model")
     p.add_argument("-s", "--select", action="append", default=[])
     p.add_argument("-r", "--remove", action="append", default=[])
+    p.add_argument("-l", "--list", action="store_true", help="name the stages and end")
+    p.add_argument("-q", "--quiet", action="store_true", help="no counts at the end")
+    return p
+
+
+def parse(argv: list[str]) -> SessionConfig:
+    p = parser()
     a = p.parse_args(argv)
     if a.select and a.remove:
         p.error("select and remove exclude each other")
-    config = SessionConfig(a.corpusname, a.path, a.output, bundle=a.bundle)
+    if not a.path or not a.corpusname:
+        p.error("the path and --corpusname are mandatory")
+    config = SessionConfig(a.corpusname, a.path, a.output)
+    if a.config:
+        with open(a.config, encoding="utf-8") as f:
+            config = configure(config, json.load(f))
+    if a.bundle is not None:
+        config = replace(config, bundle=a.bundle)
     return config.selected(a.select) if a.select else config.without(a.remove)
+
+
+def launch(spark: SparkSession, config: SessionConfig) -> list[str]:
+    """Runs a session, in bundles where the configuration says so; the output folders.
+
+    Bundles resume after a lost driver: the stream's checkpoint says which files are done."""
+    if not config.bundle:
+        run(spark, config)
+        return [config.output_path]
+    done: list[str] = []
+
+    def one(docs: DataFrame, n: int) -> None:
+        done.append(f"{config.output_path}/bundle={n}")
+        run(docs.sparkSession, replace(config, output_path=done[-1]), docs)
+
+    files = corpus.stream(spark, config.input_path, config.corpusname, config.now, config.bundle)
+    jobs.in_bundles(files, one, f"{config.output_path}/checkpoint").awaitTermination()
+    return done

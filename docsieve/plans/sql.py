@@ -167,3 +167,11 @@ union all select '/order/line', count(*), case when bool_or(l_returnflag = 'R')
     "out_json": "select doc_id, doc_id as id, lang, source, n_chars from documents",
     "enrichment_render": "select doc_id, '<doc id=''' || doc_id || ''' lang=''' || lang || '''><p>' || source || '</p><p>' || n_chars || '</p></doc>' as rendered from documents",
 }
+
+# The same results through sessions: turns are segments of one name there.
+ORACLE_SQL |= {
+    "session_bayes": ORACLE_SQL["bayes_cascade"],
+    "session_segments": ORACLE_SQL["segment_keywords"].replace("role || ':nth", "'turn' || ':nth").replace("else role end", "else 'turn' end").replace("partition by conv_id, role", "partition by conv_id"),
+    "session_validation": _ORD + """ select o_orderkey, case when ok then case when o_orderkey % 5 = 0 then 'free' else 'priced' end end as valid_dtd,
+case when ok then case when o_orderkey % 5 = 0 then 'priced' else 'free' end end as broken_dtd, case when ok then 1 end as n_errors from o""",
+}

@@ -92,9 +92,9 @@ def render(template: str, data: Column) -> Column:
     return run(F.to_json(data))
 
 
-def write_enrichments(docs: DataFrame, folder: str, doc_id: str = "id", rendered: str = "rendered") -> None:
-    """A file per document under ``doc=<id>/``."""
-    docs.select(F.col(doc_id).alias("doc"), F.col(rendered).alias("value")).write.mode("overwrite").partitionBy("doc").option("lineSep", "").text(folder)
+def write_enrichments(rendered: DataFrame, folder: str, rows: int = 100_000) -> None:
+    """JSON lines (path, label, kind, rendered) in files of at most ``rows`` documents, not a file or folder for each."""
+    rendered.write.mode("overwrite").option("maxRecordsPerFile", rows).json(folder)
 
 
 def append_enrichment(enrichments: Column, label: str, kind: str, output: Column) -> Column:
