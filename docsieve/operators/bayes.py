@@ -62,10 +62,28 @@ def guess(scores: DataFrame, keys: tuple[str, ...] = (), least: float = 0.0) ->
     return scores.where(F.col("score") > least).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
 
 
-def cascade(docs: DataFrame, model: DataFrame, verbalization: DataFrame | None = None, depth: int = 8, entry: str = "entry", doc_id: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
+def levels(model: DataFrame, entry: str) -> int:
+    """The longest chain of trainings from ``entry``; where trainings name each other in a circle, their number.
+
+    What comes to the driver is a row per category that is itself a training, not data."""
+    trainings = model.select("training").distinct()
+    chains = model.select("training", "pool").distinct().join(trainings.withColumnRenamed("training", "pool"), "pool", "left_semi")
+    after: dict[str, set[str]] = {}
+    for r in chains.collect():
+        after.setdefault(r.training, set()).add(r.pool)
+    names = {entry}.union(after, *after.values())
+    now, n = {entry}, 0
+    while now and n < len(names):
+        now, n = set().union(*(after.get(t, set()) for t in now)), n + 1
+    return n
+
+
+def cascade(docs: DataFrame, model: DataFrame, verbalization: DataFrame | None = None, depth: int | None = None, entry: str = "entry", doc_id: str = "doc_id", text: str = "text", least: float = 0.0) -> DataFrame:
     """doc_id, level, code, probability, verbalization: each guess names the next training, while there is one.
 
-    ``depth`` bounds the levels, so a category that names its own training ends."""
+    Without ``depth`` there are as many levels as the model's trainings allow; a category
+    that leads back to an earlier training ends when each training had its turn."""
+    depth = levels(model, entry) if depth is None else depth
     trainings = model.select("training").distinct()
     now = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(entry).alias("training"))
     out = None
