@@ -61,4 +61,4 @@ def inventory(docs: DataFrame, xml: str = "xml") -> DataFrame:
 
 def write_csv(found: DataFrame, path: str) -> None:
     """``xpath;count;attribute,attribute`` lines without a header."""
-    found.select("xpath", "countElement", F.array_join("attributes", ",").alias("attributes")).write.mode("overwrite").option("sep", ";").option("quote", "").csv(path)
+    found.select("xpath", "countElement", F.array_join("attributes", ",").alias("attributes")).write.mode("overwrite").option("sep", ";").option("quote", "").option("emptyValue", "").csv(path)

@@ -6,6 +6,11 @@ among them, so their documents are made from relational rows inside the plan.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -302,10 +307,30 @@ def bundle_batches(spark, d):
     return session.bundles(_docs(spark, d).select("doc_id"), "doc_id", 64)
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one of the cluster; in local mode without one, below a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="docsieve-")
+        atexit.register(shutil.rmtree, base, True)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def out_json(spark, d):
-    rec = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("lang"), F.col("source"), F.col("n_chars")))
-    docs = table(spark, d, "documents").select("doc_id", F.from_json(rec, "id long, lang string, source string, n_chars long").alias("r"))
-    return docs.select("doc_id", F.col("r.id").alias("id"), F.col("r.lang").alias("lang"), F.col("r.source").alias("source"), F.col("r.n_chars").alias("n_chars"))
+    """The records written by the JSON sink and read back."""
+    docs = table(spark, d, "documents").select("doc_id", F.col("doc_id").alias("id"), "lang", "source", "n_chars")
+    path = sinks.write_json(docs, _scratch(spark, "out_json"), "corpus", now="0")
+    return spark.read.schema("doc_id long, id long, lang string, source string, n_chars long").json(path)
+
+
+def sink_xpaths(spark, d):
+    """The path inventory written by its sink and read back."""
+    path = _scratch(spark, "sink_xpaths")
+    xpaths.write_csv(xpaths.inventory(_lines_xml(spark, d)), path)
+    part = lambda i: F.split("value", ";", 3)[i]
+    return spark.read.text(path).select(part(0).alias("xpath"), part(1).cast("long").alias("countElement"), F.coalesce(part(2), F.lit("")).alias("attributes"))
 
 
 TEMPLATE = "<doc id='{{doc.id}}' lang='{{doc.lang}}'>{{#parts}}<p>{{.}}</p>{{/parts}}</doc>"
@@ -332,7 +357,7 @@ def session_bayes(spark, d):
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("path"), F.concat(F.lit('<?xml version="1.0"?><item>'), _element("text", F.col("text")), F.lit("</item>")).alias("text"))
     config = session.SessionConfig("corpus", "benchmark", stages=("filetype", "xml", "bayes"), bayes_model=model, bayes_labels=labels, bayes_selector="item > text")
     out = session.run(spark, config, _as_corpus(items)).select("path", F.inline("bayes"))
-    return out.select(F.col("path").alias("item_id"), "level", "code", F.round("probability", 6).alias("probability"), "verbalization")
+    return out.select(F.col("path").cast("long").alias("item_id"), "level", "code", F.round("probability", 6).alias("probability"), "verbalization")
 
 
 def session_segments(spark, d):
@@ -365,7 +390,7 @@ QUERIES = {
         walk_file_info, filetype_detect, filetype_encoding, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
         keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
         bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, category_lookup, category_abort, config_match,
-        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, enrichment_render,
+        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
         session_bayes, session_segments, session_validation, stem_words,
     )
 }

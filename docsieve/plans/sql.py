@@ -172,6 +172,7 @@ union all select '/order/line', count(*), case when bool_or(l_returnflag = 'R')
 ORACLE_SQL |= {
     "session_bayes": ORACLE_SQL["bayes_cascade"],
     "session_segments": ORACLE_SQL["segment_keywords"].replace("role || ':nth", "'turn' || ':nth").replace("else role end", "else 'turn' end").replace("partition by conv_id, role", "partition by conv_id"),
+    "sink_xpaths": ORACLE_SQL["xpath_inventory"],
     "session_validation": _ORD + """ select o_orderkey, case when ok then case when o_orderkey % 5 = 0 then 'free' else 'priced' end end as valid_dtd,
-case when ok then case when o_orderkey % 5 = 0 then 'priced' else 'free' end end as broken_dtd, case when ok then 1 end as n_errors from o""",
+case when ok then case when o_orderkey % 5 = 0 then 'priced' else 'free' end end as broken_dtd, case when ok then cast(1 as bigint) end as n_errors from o""",
 }
