@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, ngram_join, pieces, quality, resample, secrets, shards, substrings, tokenfile, warc
+from . import decontaminate, infill, ngram_join, pieces, quality, resample, secrets, shards, substrings, tokenfile, tries, urls, warc
 
 QUERIES = {
     "op1_token_files": tokenfile.op1,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_substring_dedup": substrings.op8,
     "op9_pieces": pieces.op9,
     "op10_quality_resampling": resample.op10,
+    "op11_infill": infill.op11,
+    "op12_url_filter": urls.op12,
+    "op13_prefix_trie": tries.op13,
 }
 
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.SQL,
     "op3_warc": warc.SQL,
+    "op11_infill": infill.SQL,
+    "op13_prefix_trie": tries.SQL,
 }
