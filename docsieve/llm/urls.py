@@ -93,8 +93,8 @@ def runs(col: pa.Array, order: int, window: int = CHUNK_BYTES) -> Iterator[tuple
         out = raw[lo:hi].astype(np.int64)
         for j in range(1, order + 1):
             back = np.zeros(hi - lo, np.int64)
-            skip = max(0, j - lo)
-            back[skip:] = raw[lo + skip - j : hi - j]
+            skip = min(max(0, j - lo), hi - lo)
+            back[skip:] = raw[max(0, lo + skip - j) : max(0, hi - j)]
             out |= np.where(at >= j, back, 0) << np.int64(8 * j)
         yield out, row
 
