@@ -1,8 +1,23 @@
-"""Language identification by function words (inventory W14, P5, P17)."""
+"""Language identification (inventory W14, P5, P17): scripts, trigram profiles, function words.
+
+``profiles`` learns from labelled texts which trigrams of letters each language uses and how
+likely they are; ``detector`` makes a column function of such a table.  A text is voted on
+in spans of ``SPAN`` trigrams: a span's script tells which languages are candidates (or
+decides alone, where no profile is written in it), and of these the one with the largest
+log-likelihood gets the span, if it knows at least half of the trigrams.  Percentages are
+shares of the spans' trigrams, so texts in several languages show them all.
+
+``detect`` needs no profiles: scripts, and function words of four languages.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Common function words by language code.
@@ -12,21 +27,203 @@ FUNCTION_WORDS = {
     "es": ("de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su", "para", "es", "al", "lo"),
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par", "plus", "au", "ne", "se"),
 }
-NAMES = {"de": "GERMAN", "en": "ENGLISH", "es": "SPANISH", "fr": "FRENCH"}
+# Names by code, as users of such results expect them.
+NAMES = {
+    "ar": "ARABIC", "bg": "BULGARIAN", "cs": "CZECH", "da": "DANISH", "de": "GERMAN", "el": "GREEK", "en": "ENGLISH", "es": "SPANISH", "fi": "FINNISH", "fr": "FRENCH",
+    "hi": "HINDI", "hu": "HUNGARIAN", "hy": "ARMENIAN", "it": "ITALIAN", "iw": "HEBREW", "ja": "Japanese", "ka": "GEORGIAN", "ko": "Korean", "nl": "DUTCH", "no": "NORWEGIAN",
+    "pl": "POLISH", "pt": "PORTUGUESE", "ro": "ROMANIAN", "ru": "RUSSIAN", "sv": "SWEDISH", "th": "THAI", "tr": "TURKISH", "uk": "UKRAINIAN", "vi": "VIETNAMESE", "zh": "Chinese",
+}
+# Scripts by first and last code point, and the language a script stands for without profiles.
+SCRIPTS = (
+    ("Latin", 0x0041, 0x024F, None), ("Greek", 0x0370, 0x03FF, "el"), ("Cyrillic", 0x0400, 0x052F, "ru"), ("Armenian", 0x0530, 0x058F, "hy"), ("Hebrew", 0x0590, 0x05FF, "iw"),
+    ("Arabic", 0x0600, 0x06FF, "ar"), ("Devanagari", 0x0900, 0x097F, "hi"), ("Thai", 0x0E00, 0x0E7F, "th"), ("Georgian", 0x10A0, 0x10FF, "ka"), ("Latin", 0x1E00, 0x1EFF, None),
+    ("Greek", 0x1F00, 0x1FFF, "el"), ("Kana", 0x3040, 0x30FF, "ja"), ("Han", 0x4E00, 0x9FFF, "zh"), ("Hangul", 0xAC00, 0xD7AF, "ko"),
+)
 MIN_HITS = 3
 WORDS = r"[^\p{L}]+"
 
+#: Trigrams kept of each language, trigrams to a span, and languages listed.
+TOP, SPAN, LISTED = 2000, 200, 3
+#: Reliable: so many trigrams of the first language at least, a mean margin (in 1/1000 of a nat), and half of the text.
+LEAST, MARGIN = 12, 50
+MAX_LANGUAGES = 100
+
+KIND = "struct<reliable:boolean,languages:array<struct<name:string,code:string,percent:int,score:double>>>"
+
 
 def _let(x: Column, f) -> Column:
     """``f(x)`` with ``x`` evaluated once, however often ``f`` names it."""
     return F.transform(F.array(x), f)[0]
 
 
+# ---------------------------------------------------------------- trigram profiles
+def letters(text: Column) -> Column:
+    """Lower-cased letters with one space around every word; null stays."""
+    return F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(text), WORDS, " ")), F.lit(" "))
+
+
+def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(trigram as one integer, text it is in, its place there) of texts in the form of ``letters``."""
+    size = np.array([len(t) for t in texts], np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), size)
+    at = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+    good = at[: max(0, len(codes) - 2)] + 2 < size[row[: max(0, len(codes) - 2)]]
+    i = np.flatnonzero(good)
+    return codes[i] << 42 | codes[i + 1] << 21 | codes[i + 2], row[i], at[i]
+
+
+def _spelled(key: int) -> str:
+    return "".join(chr(key >> s & 0x1FFFFF) for s in (42, 21, 0))
+
+
+def profiles(labelled: DataFrame, label: str = "lang", text: str = "text", top: int = TOP) -> DataFrame:
+    """code, gram, weight of the ``top`` most frequent trigrams of each language, and of the gram '' for all others.
+
+    Weights are 1000 log-probabilities with one more count for each gram.  Rows without a label or text teach nothing.
+    Trigrams are counted within each task first; what is shuffled is distinct trigrams."""
+
+    def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keys, row, _ = _trigrams(batch.column(1).to_pylist())
+            codes, which = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
+            for c, code in enumerate(codes):
+                some, n = np.unique(keys[which[row] == c], return_counts=True)
+                if len(some):
+                    yield pa.record_batch({"code": pa.array([code] * len(some)), "gram": pa.array([_spelled(int(k)) for k in some]), "n": pa.array(n, pa.int64())})
+
+    rows = labelled.select(F.col(label).cast("string").alias("code"), letters(F.col(text)).alias("x")).where("code is not null and x is not null")
+    counts = rows.mapInArrow(count, "code string, gram string, n long").groupBy("code", "gram").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("code").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    best = counts.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= top).drop("r")
+    both = best.unionByName(totals.select("code", F.lit("").alias("gram"), F.lit(0).cast("long").alias("n")))
+    # a row for each language
+    return both.join(F.broadcast(totals), "code").select("code", "gram", F.round(1000 * F.ln((F.col("n") + 1) / (F.col("total") + F.col("kinds")))).cast("int").alias("weight"))
+
+
+class _Model:
+    """The profiles as arrays: sorted trigrams, a weight and a mark for each language."""
+
+    def __init__(self, rows: list[tuple[str, str, int]]):
+        self.codes = sorted({c for c, _, _ in rows})
+        index = {c: i for i, c in enumerate(self.codes)}
+        self.rest = np.zeros(len(self.codes), np.int64)
+        grams = sorted({(ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2])) for _, g, _ in rows if g})
+        self.keys = np.array(grams or [0], np.int64)
+        for c, g, w in rows:
+            if not g:
+                self.rest[index[c]] = w
+        self.weight = np.tile(self.rest.astype(np.int16), (len(self.keys) + 1, 1))  # the last row: trigrams of no language
+        self.known = np.zeros(self.weight.shape, bool)
+        for c, g, w in rows:
+            if g:
+                at = np.searchsorted(self.keys, ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]))
+                self.weight[at, index[c]], self.known[at, index[c]] = w, True
+        scripts = sorted({s[0] for s in SCRIPTS}) + [""]
+        self.scripts = {s: i for i, s in enumerate(scripts)}
+        self.first = np.array([s[1] for s in SCRIPTS], np.int64)
+        self.last = np.array([s[2] for s in SCRIPTS], np.int64)
+        self.script = np.array([self.scripts[s[0]] for s in SCRIPTS], np.int64)
+        self.alone = {self.scripts[s[0]]: s[3] for s in SCRIPTS if s[3]}
+        of = np.zeros((len(self.codes), len(scripts)), np.int64)
+        for c in range(len(self.codes)):
+            own = self.script_of(self.keys[self.known[:-1, c]] >> 21 & 0x1FFFFF)
+            of[c] = np.bincount(own, minlength=len(scripts))
+        of[:, -1] = 0
+        self.written = of.argmax(axis=1) if len(self.codes) else np.zeros(0, np.int64)
+
+    def script_of(self, code: np.ndarray) -> np.ndarray:
+        at = np.maximum(np.searchsorted(self.first, code, side="right") - 1, 0)
+        return np.where((code >= self.first[at]) & (code <= self.last[at]), self.script[at], self.scripts[""])
+
+    def votes(self, texts: list[str]) -> list[dict[str, list[int]]]:
+        """For each text: code -> [trigrams, margin]; the code '' holds what no language got."""
+        out: list[dict[str, list[int]]] = [{} for _ in texts]
+        keys, row, at = _trigrams(texts)
+        if not len(keys):
+            return out
+        new = np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] // SPAN != at[:-1] // SPAN)])
+        start = np.flatnonzero(new)
+        span = np.cumsum(new) - 1
+        size = np.diff(np.append(start, len(keys)))
+        script = np.bincount(span * len(self.scripts) + self.script_of(keys >> 21 & 0x1FFFFF), minlength=len(start) * len(self.scripts)).reshape(len(start), -1)
+        script[:, self.scripts[""]] = 0
+        kana, han = self.scripts["Kana"], self.scripts["Han"]
+        mixed = script[:, kana] > 0  # Han characters among Kana are Japanese
+        script[mixed, kana] += script[mixed, han]
+        script[mixed, han] = 0
+        script = np.where(script.max(axis=1) > 0, script.argmax(axis=1), self.scripts[""])
+        found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = np.where(self.keys[found] == keys, found, len(self.keys))
+        score = np.add.reduceat(self.weight[found], start, dtype=np.int64) if self.codes else np.zeros((len(start), 0), np.int64)
+        known = np.add.reduceat(self.known[found], start, dtype=np.int64) if self.codes else score
+        for s in range(len(start)):
+            fits = [c for c in range(len(self.codes)) if self.written[c] == script[s]]
+            code, margin = "", 0
+            if fits:
+                order = sorted(fits, key=lambda c: (-score[s, c], self.codes[c]))
+                if 2 * known[s, order[0]] >= size[s]:
+                    code = self.codes[order[0]]
+                    margin = int(score[s, order[0]] - (score[s, order[1]] if len(order) > 1 else score[s, order[0]] - 1000 * size[s]))
+            elif script[s] in self.alone:
+                code, margin = self.alone[script[s]], 1000 * int(size[s])
+            one = out[row[start[s]]].setdefault(code, [0, 0])
+            one[0] += int(size[s])
+            one[1] += margin
+        return out
+
+
+def detector(table: DataFrame) -> Callable[[Column], Column]:
+    """A column function of a text by a table of profiles: struct(reliable, languages), best first.
+
+    The table is at most ``TOP`` + 1 rows for each of ``MAX_LANGUAGES`` languages (checked), so it goes to all tasks.
+    Null and empty texts, and texts no language was found in, have no languages."""
+    n = table.select("code").distinct().limit(MAX_LANGUAGES + 1).count()
+    if n > MAX_LANGUAGES:
+        raise ValueError(f"profiles of more than {MAX_LANGUAGES} languages")
+    model = _Model([(r.code, r.gram, r.weight) for r in table.select("code", "gram", "weight").where("code is not null").collect()])
+    shared = table.sparkSession.sparkContext.broadcast(model)
+
+    def judged(votes: dict[str, list[int]]) -> dict:
+        total = sum(n for n, _ in votes.values())
+        order = sorted(((n, m, c) for c, (n, m) in votes.items() if c), key=lambda x: (-x[0], x[2]))
+        listed = [{"name": NAMES.get(c, c.upper()), "code": c, "percent": 100 * n // total, "score": m // n / 1000} for n, m, c in order[:LISTED]]
+        reliable = bool(order) and order[0][0] >= LEAST and order[0][1] // order[0][0] >= MARGIN and 2 * order[0][0] >= total
+        return {"reliable": reliable, "languages": listed}
+
+    @F.pandas_udf(KIND)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        rows: list[dict] = []
+        part: list[str] = []
+        size = 0
+        for t in [*texts.fillna("").tolist(), None]:  # some 4 MB of letters at once
+            if t is None or size > 1 << 20:
+                rows += [judged(v) for v in shared.value.votes(part)]
+                part, size = [], 0
+            if t is not None:
+                part.append(t)
+                size += len(t)
+        return pd.DataFrame(rows, columns=["reliable", "languages"])
+
+    return lambda text: run(letters(text))
+
+
+# ---------------------------------------------------------------- without profiles
+def _by_script(text: Column) -> Column:
+    """array of (score, code, name): letters of every script that stands for a language; none of Latin."""
+    alone = {}
+    for _, first, last, code in SCRIPTS:
+        if code:
+            alone.setdefault(code, []).append(f"\\x{{{first:04x}}}-\\x{{{last:04x}}}")
+    return F.array(*[F.struct(F.regexp_count(text, F.lit(f"[{''.join(ranges)}]+")).alias("score"), F.lit(code).alias("code"), F.lit(NAMES[code]).alias("name")) for code, ranges in sorted(alone.items())])
+
+
 def detect(text: Column) -> Column:
-    """struct(reliable, languages array<struct<name, code, percent, score>>), best first.
+    """struct(reliable, languages array<struct<name, code, percent, score>>), best first, without profiles.
 
-    Reliable: enough hits, and half as many again as the runner-up.  Nulls and texts
-    without hits are not reliable and have no languages."""
+    Scores are function words, or words of a script that stands for one language.  Reliable:
+    enough hits, and half as many again as the runner-up.  Nulls and texts without hits are
+    not reliable and have no languages."""
 
     def ranked(counted: Column) -> Column:
         total = F.aggregate(counted, F.lit(0), lambda a, x: a + x["score"])
@@ -42,8 +239,14 @@ def detect(text: Column) -> Column:
         own = lambda c: F.size(F.filter(words, lambda w: w.isin(*FUNCTION_WORDS[c])))
         return F.array(*[F.struct(own(c).alias("score"), F.lit(c).alias("code"), F.lit(NAMES[c]).alias("name")) for c in sorted(FUNCTION_WORDS)])
 
-    counted = _let(F.split(F.lower(text), WORDS), counts)
-    return _let(_let(counted, ranked), judged)
+    latin = _let(F.split(F.lower(text), WORDS), counts)
+    others = F.when(text.rlike(r"[\x{0370}-\x{1dff}\x{1f00}-\x{1fff}\x{3040}-\x{d7af}]"), _by_script(text)).otherwise(F.slice(_by_script(F.lit("")), 1, 0))
+    return _let(_let(F.concat(latin, others), ranked), judged)
+
+
+def without_markup(text: Column) -> Column:
+    """A text without tags, as XML and HTML are read."""
+    return F.regexp_replace(text, r"<[^>]*+>", " ")
 
 
 def passes_gate(detected: Column, code: str, percent: int) -> Column:

@@ -82,7 +82,7 @@ def term_frequency(docs: DataFrame, resources: Resources = Resources(), doc_id:
     Terms are counted inside each row, by runs of the sorted array; what is left is dealt
     out by document once, which the later windows over documents share."""
     each = term_arrays(docs, resources, doc_id, text).select("doc_id", "n_tokens", F.sort_array("terms").alias("s"))
-    each = each.where(F.size("s") > 0).select("*", F.expr("filter(sequence(1, size(s)), i -> i = 1 or s[i - 1] != s[i - 2])").alias("at"))
+    each = each.select("*", F.expr("if(size(s) = 0, array(), filter(sequence(1, size(s)), i -> i = 1 or s[i - 1] != s[i - 2]))").alias("at"))
     each = each.select("doc_id", "n_tokens", F.explode(F.expr("transform(at, (p, k) -> struct(s[p - 1] as term, cast(if(k = size(at) - 1, size(s) + 1, at[k + 1]) - p as bigint) as c))")).alias("x"))
     each = each.select("doc_id", "n_tokens", "x.term", "x.c").repartition("doc_id")
     counted = each.groupBy("doc_id", "n_tokens", "term").agg(F.sum("c").alias("frequency")).withColumn("strength", X.strength(F.col("term")))

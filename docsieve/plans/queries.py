@@ -205,6 +205,19 @@ def lang_gate(spark, d):
     return _docs(spark, d).select("doc_id", language.passes_gate(language.detect(F.col("text")), "en", 70).alias("passes"))
 
 
+def lang_profiles(spark, d):
+    """What the labelled documents teach of each language."""
+    return language.profiles(spread(table(spark, d, "documents").select("lang", "text"))).select("code", "gram", F.col("weight").cast("long").alias("weight"))
+
+
+def lang_identify(spark, d):
+    """All documents by profiles of the labelled ones."""
+    docs = spread(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    found = docs.select("doc_id", language.detector(language.profiles(docs))(F.col("text")).alias("l"))
+    first = F.try_element_at(F.col("l.languages"), F.lit(1))
+    return found.select("doc_id", F.col("l.reliable").alias("reliable"), F.size("l.languages").cast("long").alias("n_languages"), first["code"].alias("code"), first["percent"].cast("long").alias("percent"), first["score"].alias("score"))
+
+
 # ---------------------------------------------------------------- categories
 def _categories(spark, d):
     nation = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -389,7 +402,7 @@ QUERIES = {
     for f in (
         walk_file_info, filetype_detect, filetype_encoding, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
         keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
-        bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, category_lookup, category_abort, config_match,
+        bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, lang_profiles, lang_identify, category_lookup, category_abort, config_match,
         xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
         session_bayes, session_segments, session_validation, stem_words,
     )

@@ -104,7 +104,32 @@ _ORD = "with o as (select *, o_orderkey % 11 <> 0 and o_orderkey % 7 <> 0 as ok
 _HTML = r"(?is)^\s*(<!doctype\s+html|<html)"
 _XML = r"^\x{feff}?\s*<\?xml\s"
 
+_PROFILES = r"""
+src as (select doc_id, lang, ' ' || trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) || ' ' as x from documents where text is not null),
+chars as (select doc_id, lang, unnest(string_split(x, '')) as a, generate_subscripts(string_split(x, ''), 1) as i from src),
+tri as (select * from (select doc_id, lang, i - 1 as place, a || lead(a) over w || lead(a, 2) over w as gram from chars window w as (partition by doc_id order by i)) where gram is not null),
+counts as (select lang as code, gram, count(*) as n from tri where lang is not null group by all),
+totals as (select code, sum(n) as total, count(*) as kinds from counts group by code),
+profile as (
+  select code, gram, cast(round(1000 * ln((n + 1) / (total + kinds))) as bigint) as weight
+  from (select *, row_number() over (partition by code order by n desc, gram) as r from counts) join totals using (code) where r <= 2000
+  union all select code, '', cast(round(1000 * ln(1 / (total + kinds))) as bigint) from totals)"""
+
+
 ORACLE_SQL = {
+    "lang_profiles": f"with {_PROFILES} select code, gram, weight from profile",
+    "lang_identify": f"""with {_PROFILES},
+spans as (select doc_id, place // 200 as span, gram, count(*) as c from tri group by all),
+scored as (
+  select s.doc_id, s.span, r.code, sum(s.c) as size, sum(s.c * coalesce(p.weight, r.weight)) as score, sum(case when p.weight is not null then s.c else 0 end) as known
+  from spans s cross join (select code, weight from profile where gram = '') r left join profile p on p.code = r.code and p.gram = s.gram group by all),
+ranked as (select *, row_number() over w as k, score - lead(score) over w as margin from scored window w as (partition by doc_id, span order by score desc, code)),
+votes as (select doc_id, case when 2 * known >= size then code else '' end as code, sum(size) as n, sum(case when 2 * known >= size then margin else 0 end) as m from ranked where k = 1 group by all),
+shares as (select *, sum(n) over (partition by doc_id) as total from votes),
+listed as (select *, row_number() over (partition by doc_id order by n desc, code) as k, count(*) over (partition by doc_id) as languages from shares where code <> '')
+select d.doc_id, coalesce(l.n >= 12 and l.m // l.n >= 50 and 2 * l.n >= l.total, false) as reliable, coalesce(least(l.languages, 3), 0) as n_languages, l.code,
+       cast(100 * l.n // l.total as bigint) as percent, (l.m // l.n) / 1000 as score
+from documents d left join listed l on l.doc_id = d.doc_id and l.k = 1""",
     "walk_file_info": "select 'corpus' as corpusname, cast(0 as bigint) as \"startAt\", '/corpus/doc-' || doc_id || '.txt' as path, 'doc-' || doc_id || '.txt' as name, '.txt' as extension, cast(octet_length(encode(coalesce(text, ''))) as bigint) as size from documents",
     "filetype_detect": rf"""with b as (select 'page' as kind, page_id as id, html as text from pages union all select 'document', doc_id, text from documents),
 t as (select *, cast(len(regexp_extract_all(text, '(?s)<.*?>')) as bigint) as tags from b)

@@ -87,3 +87,43 @@ def test_lexicon_and_lemmas(spark):
     lemmas = spark.createDataFrame([("houses", "noun", 1, "hous"), ("houses", "noun", 2, "house")], "token string, pos string, ord int, lemma string")
     out = keyterms.term_frequency(docs, keyterms.Resources(lexicon=lexicon, lemmas=lemmas)).collect()
     assert {(r.term, r.strength) for r in out} == {("green", 1), ("house", 1), ("green house", 2)}
+
+
+def test_tokenize_against_plain(spark):
+    import random
+    import re
+
+    rng = random.Random(1)
+    chars = ["a", "b", "1", "_", "_", "é", "!", "-", " ", " ", "\n", "\x01", "#", "日", "\ufeff", "\u00a0", "$", "\\"]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(60))) for _ in range(1500)]
+
+    space = re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), X.SPACE)
+
+    def plain(t):
+        out = []
+        for w in re.split(space, t.lower()):
+            if m := re.match(r"^([^a-zA-Z0-9]*)([A-Za-z0-9_]+)([^a-zA-Z0-9]*)$", w):
+                out += ["#"] * bool(m[1]) + [m[2]] + ["#"] * bool(m[3])
+        return out
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", X.tokenize(F.col("t")).alias("k")).collect():
+        assert r.k == plain(r.t), r.t
+
+
+def test_tokenize_is_linear_on_junk(spark):
+    import time
+
+    junk = ["_" * 100_000 + "éa!b", "é" * 100_000 + "_" + "é" * 100_000, "_é" * 50_000 + "a", "a_" * 50_000 + "!", "_!" * 50_000, "a!" * 50_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(junk)], "i int, t string")
+    begin = time.time()
+    sizes = dict(df.select("i", F.size(X.tokenize(F.col("t")))).collect())
+    assert sizes == {0: 0, 1: 3, 2: 2, 3: 2, 4: 3, 5: 0} and time.time() - begin < 20
+
+
+def test_one_tokeniser_in_the_plan(spark):
+    docs = spark.createDataFrame([(1, "birch maple birch"), (2, ""), (3, None), (4, "!!")], "doc_id long, text string")
+    found = keyterms.term_frequency(docs)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "birch", 2, 1), (1, "birch maple birch", 1, 3), (1, "maple", 1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
