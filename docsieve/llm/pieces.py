@@ -12,7 +12,15 @@ Characters outside the vocabulary become byte pieces, or the unknown id.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; U+2581
 in a text is a space, as in the library; other columns are ignored or passed on.  Rows
-are independent, nothing is shuffled, and a task holds one block.
+are independent, nothing is shuffled, and a task holds one block.  A column that has the name
+of the result stays under that name with ``_given`` behind it.
+
+A segment of more than ``_WINDOW`` characters (text without any space) is encoded in windows for
+byte-pair models.  Each window begins at a boundary of the one before, and the two pieces at
+the seam must be what the two encode to by themselves: a sequence of pieces of which every
+two neighbours have that property is the encoding of the whole, as the first merge across
+a boundary would be one of just two neighbours.  Where a seam does not hold, an earlier
+boundary is taken, or a larger window.
 """
 
 from __future__ import annotations
@@ -25,6 +33,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._segments import SegmentEncoder
 from ._util import chunks, column, keyed, read_table, trim
@@ -33,6 +43,8 @@ _SPACE = "▁"
 _BLOCK = 512 << 10  # bytes of text cut and gathered at once
 _JOINED = 1 << 17  # characters whose suffixes are sorted at once
 _CACHE = 250_000
+_WINDOW = 1 << 16  # characters of a segment that are merged at once
+_SEAM = 1 << 10  # characters at a window's end that the next one reads again
 _LONG = 48  # characters from which a segment is merged with a heap of its own
 _models: dict[str, "PieceModel"] = {}
 
@@ -173,16 +185,52 @@ class PieceModel:
         texts = [s.decode().replace(" ", _SPACE) for s in segments]
         out: list[bytes] = []
         i = 0
-        while i < len(texts):  # blocks of bounded size; one segment may exceed it alone
+        while i < len(texts):  # blocks of bounded size
+            if self.bpe and len(texts[i]) > _WINDOW:
+                out.append(self._windows(texts[i]))
+                i += 1
+                continue
             j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j]) <= _JOINED):
+            while j < len(texts) and (j == i or size + len(texts[j]) <= _JOINED) and not (self.bpe and len(texts[j]) > _WINDOW):
                 size += len(texts[j])
                 j += 1
             out += self._block(texts[i:j])
             i = j
         return out
 
-    def _block(self, texts: list[str]) -> list[bytes]:
+    def _windows(self, text: str, window: int = _WINDOW, seam: int = _SEAM) -> bytes:
+        """The ids of one long segment, a window at a time."""
+        out: list[np.ndarray] = []
+        at, ids, joined = self._spans(text[:window])
+        begin, size = 0, window
+        while begin + size < len(text):
+            k = int(np.searchsorted(at, size - seam, side="right")) - 1
+            while k > 0:
+                cut = begin + int(at[k])
+                after = self._spans(text[cut : cut + window])
+                own = int(after[0][1]) if len(after[0]) > 1 else len(text) - cut
+                there = int(at[k + 1] - at[k]) if k + 1 < len(at) else -1
+                if own == there or self._spans(text[begin + int(at[k - 1]) : cut + own])[0].tolist() == [0, int(at[k] - at[k - 1])]:
+                    break
+                k -= max(1, len(at) // 64)
+            if k <= 0:  # no seam holds: a larger window
+                size *= 2
+                at, ids, joined = self._spans(text[begin : begin + size])
+                continue
+            out.append(self._ids(joined, at[:k], ids[:k]))
+            begin, size = cut, window
+            at, ids, joined = after
+        out.append(self._ids(joined, at, ids))
+        return np.concatenate(out).astype(np.int32).tobytes()
+
+    def _spans(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(starts of the pieces, their ids or -1, characters) of one segment."""
+        joined, _, size, (at, ids) = self._lattice([text])
+        n = int(np.searchsorted(at, size[0]))
+        return at[:n], ids[:n], joined
+
+    def _lattice(self, texts: list[str]):
+        """(characters of all segments, starts, sizes, (starts of pieces, ids))."""
         size = np.array([len(t) for t in texts])
         # A character of its own kind ends each segment, so no match leaves one.
         joined = np.frombuffer("\0".join(texts).encode("utf-32-le") + b"\0\0\0\0", "<u4").astype(np.int64)
@@ -192,10 +240,11 @@ class PieceModel:
         alphabet = np.unique(joined)
         single = np.array([self.ids.get(chr(c), -1) if c < 0x110000 else -1 for c in alphabet.tolist()])
         one = single[np.searchsorted(alphabet, joined)]
-        if self.bpe:
-            spans = self._merge(joined, first, size, start, length, piece, one)
-        else:
-            spans = self._shortest(first, size, start, length, piece, one)
+        relax = self._merge if self.bpe else self._shortest
+        return joined, first, size, relax(*((joined,) if self.bpe else ()), first, size, start, length, piece, one)
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        joined, first, size, spans = self._lattice(texts)
         low, high = np.searchsorted(spans[0], first), np.searchsorted(spans[0], first + size)
         if (spans[1] >= 0).all():
             return SegmentEncoder.split(spans[1].astype(np.int32), high - low)
@@ -348,12 +397,23 @@ def _merge_long(grid, rank, symbol, s: int, n: int, depth: int) -> None:
         push(prv[i])
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every text (array<int>) in place of nothing else: one more column."""
-    from pyspark.sql import types as T
+def _around(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with any column of that name (in any case) under another one."""
+    taken = {c.lower() for c in docs.columns}
+    for c in docs.columns:
+        if c.lower() == name.lower():
+            free = f"{c}_given"
+            while free.lower() in taken:
+                free += "_given"
+            docs = docs.withColumnRenamed(c, free)
+    return docs
+
 
-    schema = T.StructType([f for f in docs.schema if f.name != ids] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
-    keep = [f.name for f in docs.schema if f.name != ids]
+def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with the ids of every text (array<int>) as one more column."""
+    docs = _around(docs, ids)
+    keep = docs.columns
+    schema = T.StructType([*docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
@@ -369,11 +429,10 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the text that the ids stand for."""
-    from pyspark.sql import types as T
-
-    keep = [f.name for f in docs.schema if f.name != text]
-    schema = T.StructType([f for f in docs.schema if f.name != text] + [T.StructField(text, T.StringType())])
+    """``docs`` with the text that the ids stand for; the empty one for null ids."""
+    docs = _around(docs, text)
+    keep = docs.columns
+    schema = T.StructType([*docs.schema, T.StructField(text, T.StringType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = PieceModel.load(model)
@@ -385,24 +444,17 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
     return docs.mapInArrow(run, schema)
 
 
-def summary(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_pieces, the CRC of the ids (32-bit little-endian), and whether they decode to the text."""
-    docs = keyed(docs, doc_id, text)
-    kind = docs.schema[doc_id].dataType.simpleString()
+def digests(docs: DataFrame, ids: str = "ids") -> DataFrame:
+    """``docs`` with n_pieces and ids_crc32 (of the ids as 32-bit little-endian integers) in place of the ids."""
+    keep = [c for c in docs.columns if c != ids]
+    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trim()
-        m = PieceModel.load(model)
         for batch in it:
-            for part, col in chunks(batch, text, _BLOCK):
-                flat, rows = m.rows(col)
-                trim()
-                flat = flat.astype("<i4")
-                own = [flat[a:b] for a, b in zip(rows[:-1], rows[1:])]
-                same = [m.decode(x) == t.replace(_SPACE, " ") for x, t in zip(own, col.to_pylist())]
-                yield pa.record_batch([column(part, doc_id), pa.array(np.diff(rows), pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in own], pa.int64()), pa.array(same)], names=[doc_id, "n_pieces", "ids_crc32", "round_trip"])
+            lists = [np.asarray(x.values).astype("<i4") for x in column(batch, ids)]
+            yield pa.record_batch([*[column(batch, c) for c in keep], pa.array([len(x) for x in lists], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in lists], pa.int64())], names=[*keep, "n_pieces", "ids_crc32"])
 
-    return docs.mapInArrow(run, f"`{doc_id}` {kind}, n_pieces long, ids_crc32 long, round_trip boolean")
+    return docs.mapInArrow(run, schema)
 
 
 def default_model() -> str:
@@ -412,5 +464,8 @@ def default_model() -> str:
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
-    """Query over all of ``documents``."""
-    return summary(read_table(spark, sf_dir, "documents"), default_model())
+    """Query over all of ``documents``: encoded, decoded again, and both compared."""
+    docs = keyed(read_table(spark, sf_dir, "documents"), "doc_id", "text")
+    both = decode(encode(docs, default_model()), default_model())
+    same = F.col("decoded") == F.coalesce(F.replace("text", F.lit(_SPACE), F.lit(" ")), F.lit(""))
+    return digests(both.select("doc_id", "ids", same.alias("round_trip"))).select("doc_id", "n_pieces", "ids_crc32", "round_trip")

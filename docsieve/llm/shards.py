@@ -24,12 +24,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._util import keyed, materialise, new_folder, read_table
+from ._util import discard, input_bytes, keyed, materialise, new_folder, partitions_for, read_table
 
 SHARDS = 16
 BITS = 8
-#: distinct values of a category that one broadcast table holds
-CATEGORIES = 100_000
 _LOW = (1 << 33) - 1
 
 
@@ -66,19 +64,28 @@ def bucketed(docs: DataFrame, c: str, name: str) -> DataFrame:
     """``docs`` with the cell of category ``c`` as column ``name``: its rank among the distinct
     values, scaled to 2**BITS cells, so cells keep the order that minima and maxima prune by.
 
-    Null takes cell 0.  Distinct values are counted before they are ranked: up to
-    ``CATEGORIES`` they go through a broadcast table, beyond that they are cut at as many
-    approximate quantiles of their leading characters."""
+    Null takes cell 0.  Distinct values, however many, are numbered in a range-partitioned sort;
+    the values at which a new cell begins (fewer than 2**BITS) say every value's cell, so rows
+    meet no table and a frequent value stays where its rows are."""
     value = F.col(f"`{c}`").cast("string")
-    values = materialise(docs.select(value.alias("v")).where("v is not null").distinct(), "categories")
-    n = values.count()
-    if n > CATEGORIES:  # three characters' code points as one number, in string order
-        lead = lambda x: sum((F.coalesce(F.ascii(F.substring(x, i, 1)), F.lit(0)).cast("double") * float(1 << (21 * (3 - i))) for i in (1, 2, 3)), F.lit(0.0))
-        cuts = values.select(F.percentile_approx(lead(F.col("v")), [i / 256 for i in range(1, 256)], 10_000).alias("q")).first()[0]
-        cell = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= lead(value)))
-        return docs.withColumn(name, F.when(value.isNull(), 0).otherwise(cell))
-    ranked = values.select("v", F.row_number().over(Window.orderBy("v")).alias("r")).select(F.col("v").alias(f"{name}_v"), F.floor((F.col("r") - 1) * (1 << BITS) / max(n, 1)).cast("int").alias(name))
-    return docs.join(F.broadcast(ranked), value == F.col(f"{name}_v"), "left").drop(f"{name}_v").withColumn(name, F.coalesce(name, F.lit(0)))
+    values = docs.select(value.alias("v")).where("v is not null").distinct()
+    values = values.repartitionByRange("v").sortWithinPartitions("v").withColumn("at", F.monotonically_increasing_id())
+    values = materialise(values, "categories")
+    per = values.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()  # a row per sorted partition
+    n, begin = sum(r.n for r in per), 0
+    starts = []
+    for r in per:
+        starts.append((r.part, begin))
+        begin += r.n
+    table = docs.sparkSession.createDataFrame(starts, "part long, begin long")
+    ranked = values.withColumn("part", F.shiftright("at", 33)).join(F.broadcast(table), "part").withColumn("r", F.col("begin") + F.col("at").bitwiseAND(_LOW))
+    cell = lambda r: F.floor(r * (1 << BITS) / n) if n else F.lit(0)
+    cuts = sorted(((r.cell, r.v) for r in ranked.where((F.col("r") > 0) & (cell(F.col("r")) > cell(F.col("r") - 1))).select("v", cell(F.col("r")).alias("cell")).collect()), key=lambda x: x[0])
+    discard(values)
+    first = F.array(*[F.lit(v) for _, v in cuts]).cast("array<string>")
+    cells = F.array(F.lit(0), *[F.lit(int(k)) for k, _ in cuts])
+    found = F.element_at(cells, F.size(F.filter(first, lambda x: x <= value)) + 1)
+    return docs.withColumn(name, F.when(value.isNull(), 0).otherwise(found).cast("int"))
 
 
 def octaves(c: Column, steps: int = 8) -> Column:
@@ -86,11 +93,10 @@ def octaves(c: Column, steps: int = 8) -> Column:
     return F.least(F.lit((1 << BITS) - 1), F.floor(F.log2(F.greatest(F.coalesce(c, F.lit(1)), F.lit(1))) * steps)).cast("int")
 
 
-def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry: list[Column], shards: int = SHARDS) -> DataFrame:
-    """The ``carry`` columns with hilbert, shard and slot.
+def ordered(docs: DataFrame, dimensions: list[Column], key: list[Column], carry: list[Column]) -> DataFrame:
+    """The ``carry`` columns as ``row`` with hilbert and ``at``, a number that rises along the curve; written.
 
-    ``key`` orders rows within one cell; rows equal in it must be equal in what is carried.
-    """
+    ``key`` orders rows within one cell; rows equal in it must be equal in what is carried."""
 
     @F.pandas_udf("long")
     def index(cells: pd.DataFrame) -> pd.Series:
@@ -98,8 +104,13 @@ def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry:
 
     rows = docs.select(F.struct(*carry).alias("row"), F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]).alias("key"), F.struct(*[d.alias(f"d{i}") for i, d in enumerate(dimensions)]).alias("cells"))
     rows = rows.select("row", "key", index("cells").alias("hilbert"))
-    placed = rows.repartitionByRange("hilbert", "key").sortWithinPartitions("hilbert", "key").select("row", "hilbert", F.monotonically_increasing_id().alias("at"))
-    placed = materialise(placed, "hilbert")
+    n = partitions_for(docs.sparkSession, input_bytes(docs))
+    placed = rows.repartitionByRange(n, "hilbert", "key").sortWithinPartitions("hilbert", "key").select("row", "hilbert", F.monotonically_increasing_id().alias("at"))
+    return materialise(placed, "hilbert")
+
+
+def numbered(placed: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The rows of ``ordered`` with hilbert, shard and slot."""
     per = placed.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = per.select("part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("begin"), F.sum("n").over(Window.partitionBy()).alias("total"))
@@ -114,6 +125,11 @@ def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry:
     return ranked.select("row.*", "hilbert", "shard", (F.col("rank") - begin).cast("long").alias("slot"))
 
 
+def assign(docs: DataFrame, dimensions: list[Column], key: list[Column], carry: list[Column], shards: int = SHARDS) -> DataFrame:
+    """The ``carry`` columns with hilbert, shard and slot."""
+    return numbered(ordered(docs, dimensions, key, carry), shards)
+
+
 def free_name(name: str, columns: list[str]) -> str:
     """``name``, with underscores behind it until no column is called so in any case."""
     taken = {c.lower() for c in columns}
@@ -134,10 +150,13 @@ def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
     doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(doc.alias("doc"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"), size.alias("bytes"))
     rows = bucketed(bucketed(rows, "source", "source_cell"), "lang", "lang_cell")
-    out = assign(rows, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("bytes"))], [F.col(f"doc.`{doc_id}`"), F.xxhash64("doc")], [F.col("doc"), F.col("bytes")], shards)
+    placed = ordered(rows, [F.col("source_cell"), F.col("lang_cell"), octaves(F.col("bytes"))], [F.col(f"doc.`{doc_id}`"), F.xxhash64("doc")], [F.col("doc"), F.col("bytes")])
+    out = numbered(placed, shards)
     out.sortWithinPartitions("shard", "slot").select("doc.*", F.col("hilbert").alias(curve), F.col("shard").alias(shard), F.col("slot").alias(slot)).write.partitionBy(shard).parquet(path)
     stats = [f(F.col(f"doc.`{c}`")).alias(f"{n}_{c}") for c in (source, lang) for n, f in (("min", F.min), ("max", F.max))]
-    return out.groupBy("shard").agg(F.count("*").alias("rows"), F.min("bytes").alias("min_bytes"), F.max("bytes").alias("max_bytes"), *stats)
+    manifest = materialise(out.groupBy("shard").agg(F.count("*").alias("rows"), F.min("bytes").alias("min_bytes"), F.max("bytes").alias("max_bytes"), *stats), "manifest")
+    discard(placed)
+    return manifest
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

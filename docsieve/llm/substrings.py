@@ -330,7 +330,7 @@ def _search(window: int):
                 smallest = known.setdefault((h1, h2), doc)
                 if smallest < doc:
                     out.append((rid, first, first + n))
-                elif smallest == doc and (rid, first) not in known:
+                else:  # runs come by doc_id, so this one's text is new
                     block.append((rid, doc, first, text))
                     words, since = words + n, since + 1
                 if len(out) > 50_000:
