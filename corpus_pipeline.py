@@ -3,7 +3,8 @@
 quality: documents the quality rules reject go.  near_duplicates: of every group of
 near-duplicates (five-word shingles, similarity 0.8 or more) the smallest id stays.
 decontamination: documents that benchmark passages contaminate go.  secrets: spans found
-by the secret rules are replaced by their kind.  pieces: every text gets its piece ids.
+by the secret rules are replaced by their kind.  pieces: every text gets its piece ids,
+and the text they decode to.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from docsieve.llm._util import materialise, read_table
 from docsieve.llm.decontaminate import decontaminate
 from docsieve.llm.ngram_join import keep_one
-from docsieve.llm.pieces import default_model, encode
+from docsieve.llm.pieces import decode, default_model, encode
 from docsieve.llm.quality import filter_quality
 from docsieve.llm.secrets import redact
 
@@ -36,7 +37,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encode(docs, default_model())
+    return decode(encode(docs, default_model()), default_model())
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secrets), ("pieces", pieces)]
