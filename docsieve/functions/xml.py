@@ -1,39 +1,41 @@
 """XML columns: well-formedness, doctype, typed XPath metadata, selectors, validation (inventory X1-X14).
 
-XPath values come from Spark's built-in ``xpath_*`` functions, compiled from a metadata
-configuration into one projection; they see a text only where it is well formed, and
-without its doctype, so one bad document never fails a job.
+Paths and selectors are read in one pass by ``xmlread``.  Only location paths beyond its
+subset go through Spark's built-in ``xpath_*`` functions, which see a text where it is
+well formed, and without its doctype, so one bad document never fails a job.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterator
 from xml.parsers import expat
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_ERRORS = 10
+from .schemas import Schema
+from .xmlread import ERROR_TYPE, MAX_ERRORS, Path, Reading, compile_path, compile_selector, errors_of, reader
+
 DOCTYPE = r"(?s)<!DOCTYPE[^\[>]*(\[.*?\]\s*)?>"
-_ERRORS = T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("column", T.IntegerType()), T.StructField("message", T.StringType())]))
-TYPES = ("String", "Number", "Boolean", "Count", "Attribute")
 
 
 # ---------------------------------------------------------------- well-formedness and doctype
-@F.pandas_udf(_ERRORS)
+@F.pandas_udf(ERROR_TYPE)
 def parse_errors(texts: pd.Series) -> pd.Series:
-    """Errors of each text with their places (expat stops at the first); empty where well formed."""
+    """At most ten errors of each text with their places; empty where well formed."""
 
     def of(text):
         if text is None:
             return [{"line": 0, "column": 0, "message": "no document"}]
-        p = expat.ParserCreate()
         try:
-            p.Parse(text.encode() if not text.lstrip().startswith("<?xml") else re.sub(r'encoding\s*=\s*("[^"]*"|\'[^\']*\')', 'encoding="UTF-8"', text, count=1).encode(), True)
+            expat.ParserCreate("UTF-8").Parse(text.encode(), True)
         except expat.ExpatError as e:
-            return [{"line": e.lineno, "column": e.offset, "message": expat.errors.messages[e.code]}]
+            return errors_of(text, e)
         return []
 
     return texts.map(of)
@@ -89,109 +91,134 @@ def remove_first(xml: Column, literal: str) -> Column:
 
 
 # ---------------------------------------------------------------- XPath
+KINDS = ("string", "number", "boolean", "count")
+
+
 def rewrite(path: str) -> str:
     """Prefixed attributes by their whole name, which the engine does resolve."""
     return re.sub(r"@([A-Za-z_][\w.-]*:[A-Za-z_][\w.-]*)", r"@*[name()='\1']", path)
 
 
-def xpath_value(xml: Column, kind: str, path: str) -> Column:
-    """One typed value of a safe text; null where there is none (false and 0 are values)."""
+def kind_of(name: str) -> str:
+    """A metadata type in any case; attributes and unknown types are strings."""
+    return name.lower() if name.lower() in KINDS else "string"
+
+
+def truncated(n: Column) -> Column:
+    """A number without its decimals."""
+    return F.when(n < 0, F.ceil(n)).otherwise(F.floor(n)).cast("long")
+
+
+def engine_value(xml: Column, kind: str, path: str) -> Column:
+    """One value of a safe text by the engine's functions, numbers with their decimals; null where there is none."""
     p = F.lit(rewrite(path))
-    if kind in ("String", "Attribute"):
-        return F.nullif(F.xpath_string(xml, p), F.lit(""))
-    if kind == "Number":
-        n = F.xpath_number(xml, p)
-        return F.when(~F.isnan(n), F.when(n < 0, F.ceil(n)).otherwise(F.floor(n)).cast("long"))
-    if kind == "Boolean":
+    if kind == "number":
+        return F.nanvl(F.xpath_number(xml, p), F.lit(None).cast("double"))
+    if kind == "boolean":
         return F.xpath_boolean(xml, p)
-    if kind == "Count":
+    if kind == "count":
         return F.xpath_number(xml, F.lit(f"count({rewrite(path)})")).cast("long")
-    raise ValueError(f"metadata types are {TYPES}")
+    return F.nullif(F.xpath_string(xml, p), F.lit(""))
 
 
-def with_metadata(docs: DataFrame, column: str, items: list[dict]) -> DataFrame:
-    """``docs`` with the columns of a metadata configuration: items with name, type, xpath (one or several) and maybe regex.
-
-    Of several paths the first with a value counts (Boolean and Count always have one) and
-    no regex applies; with one path and a regex there are name (valid values), nameIsValid
-    and nameError (invalid values).  Every path is evaluated once, before the rules."""
-    xml, values = F.col(column), []
-    for item in items:
-        paths = item["xpath"] if isinstance(item["xpath"], list) else [item["xpath"]]
-        values.append(F.coalesce(*[xpath_value(xml, item["type"], p) for p in (paths[:1] if item["type"] in ("Boolean", "Count") else paths)]))
-    docs = docs.select("*", F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]).alias("__values"))
-    out = []
-    for i, item in enumerate(items):
-        name, value, pattern = item["name"], F.col(f"__values.v{i}"), item.get("regex")
-        if not pattern or isinstance(item["xpath"], list):
-            out.append(value.alias(name))
-            continue
-        ok = value.cast("string").rlike(pattern)
-        out += [F.when(ok, value).alias(name), F.when(value.isNotNull(), ok).alias(f"{name}IsValid"), F.when(~ok, value).alias(f"{name}Error")]
-    return docs.select("*", *out).drop("__values")
+def xpath_value(xml: Column, kind: str, path: str) -> Column:
+    """One typed value of a safe text; null where there is none (false and 0 are values)."""
+    of = kind_of(kind)
+    compiled = compile_path(path)
+    value = reader(Reading(((of, compiled),)))(xml)["v0"] if compiled else engine_value(xml, of, path)
+    return truncated(value) if of == "number" else value
+
+
+def shown(value: Column, kind: str) -> Column:
+    """A value as a regular expression sees it: whole numbers without decimals."""
+    text = value.cast("string")
+    return F.when(value == F.floor(value), F.when(F.abs(value) < 1e15, value.cast("long").cast("string")).otherwise(text)).otherwise(text) if kind == "number" else text
+
+
+class Metadata:
+    """A metadata configuration: items with name, type, xpath (one or several) and maybe regex.
+
+    ``values`` are what one reading of a document must give, ``columns`` the result columns.
+    Of several paths the first with a value counts (Boolean and Count always have one) and no
+    regex applies; with one path and a regex there are name (valid values), nameIsValid and
+    nameError (invalid values).  The regex sees the value as it is read; a Number loses its
+    decimals behind it (``number`` in other spellings keeps them)."""
+
+    def __init__(self, items: list[dict]):
+        self.items = items
+        self.values: list[tuple[str, Path]] = []
+        self.places: list[list[int | str]] = []
+        for item in items:
+            kind = kind_of(item["type"])
+            paths = item["xpath"] if isinstance(item["xpath"], (list, tuple)) else [item["xpath"]]
+            places: list[int | str] = []
+            for p in paths[:1] if kind in ("boolean", "count") else paths:
+                compiled = compile_path(p)
+                places.append(len(self.values) if compiled else p)
+                if compiled:
+                    self.values.append((kind, compiled))
+            self.places.append(places)
+
+    def others(self) -> list[str]:
+        """The paths that are left to the engine."""
+        return [p for places in self.places for p in places if isinstance(p, str)]
+
+    def columns(self, read: Column, safe_text: Column) -> list[Column]:
+        out = []
+        for item, places in zip(self.items, self.places, strict=True):
+            kind, name, pattern = kind_of(item["type"]), item["name"], item.get("regex")
+            value = F.coalesce(*[read[f"v{p}"] if isinstance(p, int) else engine_value(safe_text, kind, p) for p in places])
+            final = truncated(value) if item["type"] == "Number" else value
+            if not pattern or isinstance(item["xpath"], (list, tuple)):
+                out.append(final.alias(name))
+                continue
+            ok = shown(value, kind).rlike(pattern)
+            out += [F.when(ok, final).alias(name), F.when(value.isNotNull(), ok).alias(f"{name}IsValid"), F.when(~ok, value).alias(f"{name}Error")]
+        return out
 
 
-# ---------------------------------------------------------------- selectors
-def selector_path(selector: str) -> str:
-    """A CSS selector of names, ``>``, blanks, ``*``, ``#id``, ``.class``, ``[a]``, ``[a="v"]`` and ``:nth-child(n)`` as an XPath."""
-    out, axis = "", "//"
-    for token in re.findall(r"\s*>\s*|\s+|[^\s>\[]+(?:\[[^\]]*\])*(?:[^\s>\[]+)*|(?:\[[^\]]*\])+", selector.strip()):
-        if token.strip() == ">":
-            axis = "/"
-            continue
-        if not token.strip():
-            axis = axis if axis == "/" else "//"
-            continue
-        m = re.match(r"[\w*|-]*", token)
-        name, rest = m[0] or "*", token[m.end() :]
-        tests = ""
-        for attribute, ident, cls, nth in re.findall(r"\[([^\]]*)\]|#([\w-]+)|\.([\w-]+)|:nth-child\((\d+)\)", rest):
-            if ident:
-                tests += f"[@id='{ident}']"
-            elif cls:
-                tests += f"[contains(concat(' ',@class,' '),' {cls} ')]"
-            elif nth:
-                tests += f"[count(preceding-sibling::*)={int(nth) - 1}]"
-            else:
-                k, _, v = (x.strip() for x in attribute.partition("="))
-                attr = f"@*[name()='{k}']" if ":" in k else f"@{k}"
-                tests += f"[{attr}='{v.strip(chr(34) + chr(39))}']" if v else f"[{attr}]"
-        out += f"{axis}{name}{tests}"
-        axis = "//"
-    return out
+def with_metadata(docs: DataFrame, column: str, items: list[dict]) -> DataFrame:
+    """``docs`` with the columns of a metadata configuration; every document is read once."""
+    spec = Metadata(items)
+    read = docs.withColumn("__read", reader(Reading(tuple(spec.values)))(F.col(column)))
+    return read.select(*docs.columns, *spec.columns(F.col("__read"), safe(F.col(column)))) if items else docs
 
 
+# ---------------------------------------------------------------- selectors
 def select_text(xml: Column, selector: str) -> Column:
-    """The texts of all matches, joined without anything between."""
-    return F.array_join(F.xpath(xml, F.lit(selector_path(selector) + "//text()")), "")
+    """The texts of all matches, joined without anything between; null of a text that is not well formed."""
+    return reader(Reading(texts=(compile_selector(selector),)))(xml)["texts"][0]
 
 
 def select_texts(selector: str):
-    """A function of a safe text: the text of each match, in document order."""
-    from xml.etree import ElementTree
+    """A function of a text: the text of each match, in document order; none of a null text."""
+    read = reader(Reading(lists=(compile_selector(selector),)))
+    return lambda xml: F.coalesce(read(xml)["lists"][0], F.array().cast("array<string>"))
 
-    path = "." + re.sub(r"//text\(\)$", "", selector_path(selector))
-    path = re.sub(r"\[count\(preceding-sibling::\*\)=(\d+)\]", lambda m: f"[{int(m[1]) + 1}]", path)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def run(texts: pd.Series) -> pd.Series:
-        def of(text):
-            if text is None:
-                return []
-            root = ElementTree.Element("root")
-            root.append(ElementTree.fromstring(text.encode()))
-            return ["".join(e.itertext()) for e in root.iterfind(path)]
+# ---------------------------------------------------------------- validation
+def schema_errors(schema: str):
+    """A function of a well-formed text: at most ten errors against a schema, with their places; none of a null text."""
+    Schema(schema)  # a schema that is none fails here, not in a task
 
-        return texts.map(of)
+    @F.pandas_udf(ERROR_TYPE)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        one = Schema(schema)
+        for texts in batches:
+            yield texts.map(lambda t: [] if t is None else one.errors(t))
 
     return run
 
 
-# ---------------------------------------------------------------- validation
-def xsd_errors(xml: Column, xsd_path: str, root_field: str = "zz") -> Column:
-    """Whether a well-formed text breaks the schema; the path is local to every executor."""
-    parsed = F.from_xml(strip_doctype(xml), f"{root_field} string, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record", "rowValidationXSDPath": xsd_path})
-    return parsed["_corrupt_record"].isNotNull()
+def path_error(spark: SparkSession, paths: list[str]) -> str | None:
+    """What is wrong with the first of the location paths that is none; null if all can be evaluated."""
+    for p in paths:
+        try:
+            spark.sparkContext._jvm.javax.xml.xpath.XPathFactory.newInstance().newXPath().compile(rewrite(p))
+        except Py4JJavaError as e:
+            cause = e.java_exception.getCause()
+            return json.dumps({"message": f"{p}: {cause.getMessage() if cause is not None else e.java_exception.getMessage()}"})
+    return None
 
 
 def _model(node: tuple) -> str:
@@ -275,7 +302,7 @@ class Dtd:
 def dtd_errors(dtd_text: str):
     """A function of a text without doctype: at most ten errors against a DTD."""
 
-    @F.pandas_udf(_ERRORS)
+    @F.pandas_udf(ERROR_TYPE)
     def run(texts: pd.Series) -> pd.Series:
         dtd = Dtd(dtd_text)
         return texts.map(lambda t: [] if t is None else dtd.errors(t))
@@ -284,8 +311,8 @@ def dtd_errors(dtd_text: str):
 
 
 def enrich(docs: DataFrame, xml: str, items: list[dict]) -> DataFrame:
-    """``docs`` with isWellFormed, wellFormedErrors, doctype and the configured metadata."""
-    x = F.col(xml)
-    out = docs.withColumns({"isWellFormed": is_well_formed(x), "wellFormedErrors": F.slice(parse_errors(x), 1, MAX_ERRORS), "doctype": doctype(x)})
-    out = out.withColumn("__seen", safe(x))
-    return with_metadata(out, "__seen", items).drop("__seen")
+    """``docs`` with isWellFormed, wellFormedErrors, doctype and the configured metadata, all from one reading."""
+    spec, x = Metadata(items), F.col(xml)
+    read = docs.withColumn("__read", reader(Reading(tuple(spec.values)))(x))
+    sound = F.coalesce(F.col("__read.sound"), F.lit(False))
+    return read.select(*docs.columns, sound.alias("isWellFormed"), F.col("__read.errors").alias("wellFormedErrors"), doctype(x).alias("doctype"), *spec.columns(F.col("__read"), safe(x)))

@@ -52,13 +52,17 @@ def paths(docs: DataFrame, xml: str = "xml") -> DataFrame:
     return docs.select(xml).mapInArrow(run, "xpath string, countElement long, attributes array<string>")
 
 
-def inventory(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """xpath, countElement, attributes (sorted distinct names) over all documents."""
-    rows = paths(docs, xml)
+def summed(rows: DataFrame) -> DataFrame:
+    """xpath, countElement, attributes (sorted distinct names) of all rows of ``paths``."""
     names = F.array_sort(F.array_distinct(F.flatten(F.collect_set("attributes"))))
     return rows.groupBy("xpath").agg(F.sum("countElement").alias("countElement"), names.alias("attributes"))
 
 
+def inventory(docs: DataFrame, xml: str = "xml") -> DataFrame:
+    """xpath, countElement, attributes (sorted distinct names) over all documents."""
+    return summed(paths(docs, xml))
+
+
 def write_csv(found: DataFrame, path: str) -> None:
     """``xpath;count;attribute,attribute`` lines without a header."""
     found.select("xpath", "countElement", F.array_join("attributes", ",").alias("attributes")).write.mode("overwrite").option("sep", ";").option("quote", "").option("emptyValue", "").csv(path)

@@ -6,17 +6,12 @@ among them, so their documents are made from relational rows inside the plan.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import filetype, language, pdf, text, xml
+from ..functions import filetype, language, pdf, text, xml, xmlread
 from ..operators import bayes, categories, keyterms, segments, xpaths
-from ..sources import corpus, sinks
+from ..sources import corpus, scratch, sinks
 from . import session
 from .sql import ORACLE_SQL  # noqa: F401
 
@@ -71,6 +66,38 @@ def filetype_encoding(spark, d):
     return _docs(spark, d).select("doc_id", filetype.encoding(F.col("text")).alias("encoding"))
 
 
+def _files(spark, d):
+    """A file for every page: sound and broken containers, and its address in several encodings."""
+    p = spread(table(spark, d, "pages").select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")))
+    b = lambda c: c.cast("binary")
+    lit = lambda x: F.lit(x)
+    french = F.concat(F.lit("page été: "), "url")
+    kinds = (
+        b(F.col("html")),
+        F.concat(lit(b"%PDF-1.4\n1 0 obj <<>> endobj\n"), b(F.col("url")), lit(b"\ntrailer <<>>\n%%EOF")),
+        F.concat(lit(b"%PDF-1.4 "), b(F.md5("url"))),
+        F.concat(lit(b"\x89PNG\r\n\x1a\n"), b(F.col("url")), lit(b"IEND\xaeB`\x82")),
+        F.concat(lit(b"PK\x03\x04"), b(F.col("url")), lit(b"PK\x05\x06\x00\x00")),
+        F.concat(lit(b"PK\x03\x04"), b(F.col("url"))),
+        F.concat(lit(b"\xff\xfe"), F.encode(french, "UTF-16LE")),
+        F.encode(french, "ISO-8859-1"),
+        F.concat(lit(b"\x01\x02"), b(F.col("url"))),
+        F.concat(lit(b'<?xml version="1.0"?><a>'), b(F.md5("url")), lit(b"</a>")),
+        b(french),
+        F.encode(F.concat(F.lit("plain address: "), F.regexp_replace("url", "[^ -~]", "")), "UTF-16BE"),
+    )
+    each = F.lit(None).cast("binary")
+    for i, c in enumerate(kinds):
+        each = F.when(F.col("page_id") % len(kinds) == i, c).otherwise(each)
+    return p.select("page_id", each.alias("content"))
+
+
+def filetype_bytes(spark, d):
+    """Type, encoding, error and decoded text of files by their bytes."""
+    found = _files(spark, d).select("page_id", filetype.file_type(F.col("content")).alias("t"))
+    return found.select("page_id", F.col("t.mime").alias("mimetype"), F.col("t.encoding").alias("encoding"), F.col("t.error").isNotNull().alias("broken"), F.md5("t.text").alias("text_md5"))
+
+
 # ---------------------------------------------------------------- tokens and terms
 def token_stream(spark, d):
     return _tokens(spark, d).select("doc_id", F.col("pos").cast("long").alias("pos"), "token")
@@ -269,8 +296,7 @@ METADATA = [
 
 
 def xml_metadata(spark, d):
-    docs = _orders_xml(spark, d).select("o_orderkey", xml.safe(F.col("xml")).alias("x"))
-    return xml.with_metadata(docs, "x", METADATA).drop("x")  # malformed documents stay, with nulls
+    return xml.with_metadata(_orders_xml(spark, d), "xml", METADATA).drop("xml")  # malformed documents stay, with nulls
 
 
 def xml_wellformed(spark, d):
@@ -289,8 +315,51 @@ def xml_dtd_validate(spark, d):
 
 
 def css_select_text(spark, d):
-    docs = _orders_xml(spark, d).select("o_orderkey", xml.safe(F.col("xml")).alias("x"))
-    return docs.select("o_orderkey", F.coalesce(xml.select_text(F.col("x"), "order > cust key"), F.lit("")).alias("cust"), F.coalesce(xml.select_text(F.col("x"), 'order[xml:lang="en"] status'), F.lit("")).alias("status"))
+    reading = xmlread.Reading(texts=tuple(xmlread.compile_selector(s) for s in ("order > cust key", 'order[xml:lang="en"] status')))
+    texts = _orders_xml(spark, d).select("o_orderkey", xmlread.reader(reading)(F.col("xml"))["texts"].alias("t"))
+    return texts.select("o_orderkey", *[F.coalesce(F.col("t")[i], F.lit("")).alias(c) for i, c in enumerate(("cust", "status"))])
+
+
+def _faulty_xml(spark, d):
+    """Orders on lines of their own, with up to three faults at known places."""
+    o, k = spread(table(spark, d, "orders")), F.col("o_orderkey")
+    status = F.concat(F.lit("<status>"), F.when(k % 5 == 0, "R & D").otherwise(F.col("o_orderstatus")), F.lit("</status>"))
+    price = F.concat(F.lit("<price>"), F.col("o_totalprice").cast("string"), F.when(k % 2 == 0, "</prise>").otherwise("</price>"))
+    cust = F.concat(F.lit("<cust "), F.when(k % 3 == 0, F.concat(F.lit("key="), F.col("o_custkey"))).otherwise(F.concat(F.lit('key="'), F.col("o_custkey"), F.lit('"'))), F.lit("/>"))
+    return o.select("o_orderkey", F.concat_ws("\n", F.lit('<?xml version="1.0"?>'), F.lit("<order>"), status, price, F.lit("<!-- < & -->"), cust, F.lit("</order>")).alias("xml"))
+
+
+def xml_errors(spark, d):
+    """Places of all faults of each document."""
+    found = _faulty_xml(spark, d).select("o_orderkey", xml.parse_errors(F.col("xml")).alias("e"))
+    return found.select("o_orderkey", F.size("e").cast("long").alias("n_errors"), F.array_join(F.array_distinct(F.col("e.line")).cast("array<string>"), ",").alias("lines"))
+
+
+SCHEMA = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
+<xs:simpleType name="state"><xs:restriction base="xs:string"><xs:enumeration value="O"/><xs:enumeration value="F"/><xs:enumeration value="P"/></xs:restriction></xs:simpleType>
+<xs:element name="order"><xs:complexType>
+<xs:sequence><xs:element name="status" type="state"/><xs:element name="price" type="xs:decimal"/><xs:choice maxOccurs="unbounded"><xs:element name="cust" type="xs:long"/><xs:element name="note"/></xs:choice></xs:sequence>
+<xs:attribute name="id" type="xs:positiveInteger" use="required"/></xs:complexType></xs:element></xs:schema>"""
+
+
+def xml_schema_errors(spark, d):
+    """Orders with up to three faults against a schema: how many errors, and on which lines."""
+    o, k = spread(table(spark, d, "orders")), F.col("o_orderkey")
+    head = F.concat(F.lit('<order id="'), F.when(k % 6 == 0, "x").otherwise(""), k.cast("string"), F.lit('">'))
+    status = F.concat(F.lit("<status>"), F.when(k % 4 == 0, "X").otherwise(F.col("o_orderstatus")), F.lit("</status>"))
+    price = F.when(k % 5 != 0, F.concat(F.lit("<price>"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("</price>")))
+    cust = F.concat(F.lit("<cust>"), F.col("o_custkey"), F.lit("</cust>"))
+    docs = o.select("o_orderkey", F.concat_ws("\n", F.lit('<?xml version="1.0"?>'), head, status, price, cust, F.lit("</order>")).alias("xml"))
+    found = docs.select("o_orderkey", xml.schema_errors(SCHEMA)(F.col("xml")).alias("e"))
+    return found.select("o_orderkey", F.size("e").cast("long").alias("n_errors"), F.array_join(F.col("e.line").cast("array<string>"), ",").alias("lines"))
+
+
+def xml_number_regex(spark, d):
+    """A regex on a number with decimals, which are cut off behind it; a type in other spelling keeps them."""
+    o = spread(table(spark, d, "orders"))
+    docs = o.select("o_orderkey", F.concat(F.lit("<o><p>"), F.format_string("%d.%02d", (F.col("o_orderkey") % 50).cast("int"), (F.col("o_custkey") % 100).cast("int")), F.lit("</p></o>")).alias("x"))
+    items = [{"name": "p", "type": "Number", "xpath": "/o/p", "regex": r"\."}, {"name": "q", "type": "number", "xpath": "//p"}, {"name": "s", "type": "STRING", "xpath": "/o/p"}, {"name": "u", "type": "unheard of", "xpath": "o/p"}]
+    return xml.with_metadata(docs, "x", items).drop("x")
 
 
 def _lines_xml(spark, d):
@@ -320,27 +389,16 @@ def bundle_batches(spark, d):
     return session.bundles(_docs(spark, d).select("doc_id"), "doc_id", 64)
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one of the cluster; in local mode without one, below a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="docsieve-")
-        atexit.register(shutil.rmtree, base, True)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def out_json(spark, d):
     """The records written by the JSON sink and read back."""
     docs = table(spark, d, "documents").select("doc_id", F.col("doc_id").alias("id"), "lang", "source", "n_chars")
-    path = sinks.write_json(docs, _scratch(spark, "out_json"), "corpus", now="0")
+    path = sinks.write_json(docs, scratch.folder(spark, "out_json"), "corpus", now="0")
     return spark.read.schema("doc_id long, id long, lang string, source string, n_chars long").json(path)
 
 
 def sink_xpaths(spark, d):
     """The path inventory written by its sink and read back."""
-    path = _scratch(spark, "sink_xpaths")
+    path = scratch.folder(spark, "sink_xpaths")
     xpaths.write_csv(xpaths.inventory(_lines_xml(spark, d)), path)
     part = lambda i: F.split("value", ";", 3)[i]
     return spark.read.text(path).select(part(0).alias("xpath"), part(1).cast("long").alias("countElement"), F.coalesce(part(2), F.lit("")).alias("attributes"))
@@ -400,10 +458,10 @@ def stem_words(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        walk_file_info, filetype_detect, filetype_encoding, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
+        walk_file_info, filetype_detect, filetype_encoding, filetype_bytes, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
         keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
         bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, lang_profiles, lang_identify, category_lookup, category_abort, config_match,
-        xml_metadata, xml_wellformed, xml_dtd_validate, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
+        xml_metadata, xml_wellformed, xml_dtd_validate, xml_errors, xml_schema_errors, xml_number_regex, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
         session_bayes, session_segments, session_validation, stem_words,
     )
 }

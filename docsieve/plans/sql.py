@@ -117,6 +117,20 @@ profile as (
 
 
 ORACLE_SQL = {
+    "xml_schema_errors": """select o_orderkey, cast((o_orderkey % 6 = 0)::int + (o_orderkey % 4 = 0)::int + (o_orderkey % 5 = 0)::int as bigint) as n_errors,
+  concat_ws(',', case when o_orderkey % 6 = 0 then '2' end, case when o_orderkey % 4 = 0 then '3' end, case when o_orderkey % 5 = 0 then '4' end) as lines from orders""",
+    "filetype_bytes": r"""with p as (select page_id, page_id % 12 as k, coalesce(url, '') as url, coalesce(html, '') as html from pages),
+x as (select *, 'page été: ' || url as fr, case k when 0 then html when 1 then '%PDF-1.4' || chr(10) || '1 0 obj <<>> endobj' || chr(10) || url || chr(10) || 'trailer <<>>' || chr(10) || '%%EOF' when 2 then '%PDF-1.4 ' || md5(url)
+   when 6 then 'page été: ' || url when 7 then 'page été: ' || url when 9 then '<?xml version="1.0"?><a>' || md5(url) || '</a>' when 10 then 'page été: ' || url when 11 then 'plain address: ' || regexp_replace(url, '[^ -~]', '', 'g') end as t from p)
+select page_id,
+  case k when 0 then case when html = '' then 'application/octet-stream' when regexp_matches(html, '^\s*(<!doctype\s+html|<html)', 'is') then 'text/html' when len(regexp_extract_all(html, '<(?:.|\n)*?>')) > 10 then 'application/xml' else 'text/plain' end
+    when 1 then 'application/pdf' when 3 then 'image/png' when 4 then 'application/zip' when 9 then 'application/xml' when 2 then 'application/octet-stream' when 5 then 'application/octet-stream' when 8 then 'application/octet-stream' else 'text/plain' end as mimetype,
+  case when k in (3, 4, 5, 8) then 'binary' when k = 6 then 'utf-16le' when k = 11 then 'utf-16be' when k = 7 then 'iso-8859-1' when strlen(t) = length(t) then 'us-ascii' else 'utf-8' end as encoding,
+  k in (2, 5) as broken, md5(t) as text_md5 from x""",
+    "xml_errors": """select o_orderkey, cast((o_orderkey % 5 = 0)::int + (o_orderkey % 2 = 0)::int * 2 + (o_orderkey % 3 = 0)::int as bigint) as n_errors,
+  concat_ws(',', case when o_orderkey % 5 = 0 then '3' end, case when o_orderkey % 2 = 0 then '4' end, case when o_orderkey % 3 = 0 then '6' end, case when o_orderkey % 2 = 0 then '7' end) as lines from orders""",
+    "xml_number_regex": r"""with v as (select o_orderkey, o_orderkey % 50 as a, o_custkey % 100 as b, printf('%d.%02d', cast(o_orderkey % 50 as integer), cast(o_custkey % 100 as integer)) as t from orders)
+select o_orderkey, case when b > 0 then cast(a as bigint) end as p, b > 0 as "pIsValid", case when b = 0 then cast(a as double) end as "pError", cast(t as double) as q, t as s, t as u from v""",
     "lang_profiles": f"with {_PROFILES} select code, gram, weight from profile",
     "lang_identify": f"""with {_PROFILES},
 spans as (select doc_id, place // 200 as span, gram, count(*) as c from tri group by all),

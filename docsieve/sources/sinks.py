@@ -81,6 +81,15 @@ def compile_template(template: str) -> Callable[[dict], str]:
     return lambda data: render(root, [data])
 
 
+def template_error(template: str) -> str | None:
+    """What is wrong with a template; null if it can be rendered."""
+    try:
+        compile_template(template)
+    except ValueError as e:
+        return json.dumps({"message": str(e)})
+    return None
+
+
 def render(template: str, data: Column) -> Column:
     """A struct column through a template."""
 

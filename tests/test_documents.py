@@ -49,7 +49,7 @@ def test_selectors(spark):
     assert one(spark, GOOD, xml.select_text(x, "sheet > note"))[0] == "dry meadowselten"
     assert one(spark, GOOD, xml.select_text(x, 'note[lang="de"]'))[0] == "selten"
     assert one(spark, GOOD, xml.select_texts("sheet note")(x))[0] == ["dry meadow", "selten"]
-    assert xml.selector_path("a b:nth-child(2) > c.d") == "//a//b[count(preceding-sibling::*)=1]/c[contains(concat(' ',@class,' '),' d ')]"
+    assert one(spark, '<a><b/><b class="x d y"><i>no</i><c class="d">in</c></b></a>', xml.select_texts("a b:nth-child(2) > c.d")(F.col("x")))[0] == ["in"]
 
 
 def test_namespace_removal(spark):
@@ -64,13 +64,6 @@ def test_dtd(spark):
     assert len(check("<a k='1'>" + "<z/>" * 30 + "</a>")) == 10
 
 
-def test_xsd(spark, tmp_path):
-    xsd = tmp_path / "a.xsd"
-    xsd.write_text('<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema"><xs:element name="a"><xs:complexType><xs:sequence><xs:element name="b" type="xs:int"/></xs:sequence></xs:complexType></xs:element></xs:schema>')
-    bad = lambda t: one(spark, t, xml.xsd_errors(F.col("x"), str(xsd)))[0]
-    assert not bad("<a><b>1</b></a>") and bad("<a><b>x</b></a>")
-
-
 def test_inventory(spark, tmp_path):
     docs = spark.createDataFrame([('<c><b id="1"><t/></b><b id="2" k="x"/></c>',), ("<c/>",), ("<bad",), (None,)], "xml string")
     out = {r.xpath: (r.countElement, r.attributes) for r in xpaths.inventory(docs).collect()}
@@ -98,13 +91,36 @@ def test_pdf(spark):
 
 
 def test_file_types(spark):
-    cases = [(b'<?xml version="1.0"?><a/>', "application/xml"), (b"%PDF-1.4 x", "application/pdf"), (b"GIF89a..", "image/gif"), (b"PK\x03\x04abc", "application/zip"), (b"PK\x03\x04 META-INF/", "application/java-archive"), (b"plain text", "text/plain"), (b"<html><body>", "text/html"), (b"<a>" * 11, "application/xml"), (b"\x00\x00\x01", "application/octet-stream"), (b"\xff\xfe\xfd", "application/octet-stream"), (b"", "application/octet-stream")]
+    cases = [(b'<?xml version="1.0"?><a/>', "application/xml"), (a_pdf("x"), "application/pdf"), (b"%PDF-1.4 broken", "application/octet-stream"), (b"GIF89a..", "image/gif"), (b"PK\x03\x04abcPK\x05\x06", "application/zip"), (b"PK\x03\x04abc", "application/octet-stream"), (b"PK\x03\x04 META-INF/ PK\x05\x06", "application/java-archive"), (b"plain text", "text/plain"), (b"<html><body>", "text/html"), (b"<a>" * 11, "application/xml"), (b"\x00\x00\x01", "application/octet-stream"), (b"\xff\xfe\xfd", "application/octet-stream"), (b"", "application/octet-stream")]
     docs = spark.createDataFrame([(i, bytearray(c)) for i, (c, _) in enumerate(cases)], "i int, content binary")
     out = {r.i: r.m for r in docs.select("i", filetype.mime_type(F.col("content")).alias("m")).collect()}
     assert [out[i] for i in range(len(cases))] == [m for _, m in cases]
     assert docs.select(filetype.mime_type(F.col("content"), F.lit("kept"))).first()[0] == "kept"
 
 
+RUSSIAN = "Съешь же ещё этих мягких французских булок, да выпей чаю"
+
+
+@pytest.mark.parametrize(
+    ("raw", "code", "text"),
+    [
+        (b"plain", "us-ascii", "plain"), ("déjà".encode(), "utf-8", "déjà"), ("\ufeffdéjà".encode(), "utf-8", "déjà"), ("déjà vu".encode("utf-16"), "utf-16le", "déjà vu"), ("a page".encode("utf-16-be"), "utf-16be", "a page"),
+        ("a page".encode("utf-16-le"), "utf-16le", "a page"), ("déjà vu".encode("latin-1"), "iso-8859-1", "déjà vu"), ("the “page”".encode("cp1252"), "windows-1252", "the “page”"), (RUSSIAN.encode("cp1251"), "windows-1251", RUSSIAN),
+        (RUSSIAN.encode("koi8-r"), "koi8-r", RUSSIAN), (RUSSIAN.encode("iso-8859-5"), "iso-8859-5", RUSSIAN), ("déjà".encode("utf-32"), "utf-32le", "déjà"), (b"\x00\x01\x02", "binary", None), (b"\xff\xfe\xfd", "binary", None), (b"a\x01b", "binary", None), (None, "binary", None), (b"", "us-ascii", ""),
+    ],
+)
+def test_encodings(spark, raw, code, text):
+    r = spark.createDataFrame([(raw,)], "c binary").select(filetype.file_type(F.col("c")).alias("t")).first().t
+    assert (r.encoding, r.text) == (code, text)
+
+
+def test_descriptions_and_errors(spark):
+    cases = [(a_pdf("x"), "PDF document, version 1.4", None), (b"%PDF-1.7 no", "data", "PDF without objects or trailer"), (b'<?xml version="1.1"?>\n<a/>', "XML 1.1 document, ASCII text", None), ("é\r\n".encode(), "UTF-8 Unicode text, with CRLF line terminators", None), (b"", "empty", None), (None, "empty", "no content")]
+    df = spark.createDataFrame([(i, c) for i, (c, _, _) in enumerate(cases)], "i int, c binary")
+    got = {r.i: (r.t.description, r.t.error) for r in df.select("i", filetype.file_type(F.col("c")).alias("t")).collect()}
+    assert [got[i] for i in range(len(cases))] == [(d, e) for _, d, e in cases]
+
+
 def test_session_end_to_end(spark, tmp_path):
     src = tmp_path / "src" / "deep"
     src.mkdir(parents=True)
