@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from docsieve.llm._util import materialise, read_table
 from docsieve.llm.decontaminate import decontaminate
 from docsieve.llm.ngram_join import keep_one
-from docsieve.llm.pieces import decode, default_model, encode
+from docsieve.llm.pieces import default_model, encode
 from docsieve.llm.quality import filter_quality
 from docsieve.llm.secrets import redact
 
@@ -37,7 +37,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decode(encode(docs, default_model()), default_model())
+    return encode(docs, default_model(), decoded="decoded")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("secrets", secrets), ("pieces", pieces)]

@@ -146,6 +146,18 @@ def trim() -> None:
         return
 
 
+def trimmed(run):
+    """A function of batches that leaves a worker as small as it found it: freed memory is given back at the task's end."""
+
+    def whole(it):
+        try:
+            yield from run(it)
+        finally:
+            trim()
+
+    return whole
+
+
 # ---------------------------------------------------------------- Arrow helpers
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A string column, nulls as empty texts."""

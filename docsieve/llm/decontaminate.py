@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._util import chunks, column, keyed, new_folder, text_column, write_file, RangeReader
+from ._util import RangeReader, chunks, column, keyed, new_folder, text_column, trimmed, write_file
 from ._words import ALNUM_LOW, U, Words, covered, row_bytes
 
 WINDOW = 13
@@ -165,7 +165,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: st
                 names=[doc_id, "n_words", "n_hit", "items", "hit_spans"],
             )
 
-    return docs.mapInArrow(run, f"`{doc_id}` {kind}, n_words long, n_hit long, items array<string>, hit_spans array<int>")
+    return docs.mapInArrow(trimmed(run), f"`{doc_id}` {kind}, n_words long, n_hit long, items array<string>, hit_spans array<int>")
 
 
 def _runs(hit: np.ndarray) -> list[int]:
@@ -205,7 +205,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
             i = part.schema.get_field_index(text)
             yield part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def digest(items: list[str]) -> str:

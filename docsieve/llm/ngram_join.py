@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from . import _store
 from ._graph import components
-from ._util import chunks, column, discard, materialise, new_folder, read_table
+from ._util import chunks, column, discard, materialise, new_folder, read_table, trimmed
 from ._words import NOT_SPACE, U, Words, mix
 
 K = 3
@@ -158,7 +158,7 @@ def features(docs: DataFrame, doc_id: str, text: str, k: int, folder: str) -> Da
         none = pa.nulls(len(token))
         yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.int64()), pa.array(count, pa.int64()), pa.array(token.view(np.int64)), none.cast(pa.int64()), none.cast(pa.binary())], names=["rid", "doc_id", "n", "h1", "h2", "point"])
 
-    return docs.mapInArrow(run, "rid long, doc_id long, n long, h1 long, h2 long, point binary")
+    return docs.mapInArrow(trimmed(run), "rid long, doc_id long, n long, h1 long, h2 long, point binary")
 
 
 def _heavy(often: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -531,8 +531,8 @@ def _cells(members: DataFrame, folder: str, text: str, k: int, numer: int, denom
     placed = members.select(F.struct(F.col("cell.root").alias("root"), F.col("cell.i").cast("long").alias("i"), F.col("cell.j").cast("long").alias("j")).alias("cell"), "node", "part", "minor")
     # Row numbers are narrow, reading what they stand for is not: a set count keeps tasks apart.
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = placed.repartition(n, F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(_fetch(folder, text), f"{cell}, text string")
-    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_verify(k, numer, denom), "a long, b long")
+    rows = placed.repartition(n, F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(trimmed(_fetch(folder, text)), f"{cell}, text string")
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(trimmed(_verify(k, numer, denom)), "a long, b long")
 
 
 # ---------------------------------------------------------------- the join
@@ -551,12 +551,12 @@ def _members(docs: DataFrame, folder: str, doc_id: str, text: str, k: int, numer
     volume = (reps.agg(F.sum("n")).first()[0] or 0) * (denom - numer) // denom
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // PART_KEYS))
     rids = reps.select(F.col("node").alias("rid"))
-    blobs = rids.repartition(parts, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(_deal(folder, text, k, numer, denom, parts, heavy, STAR), "part long, blob binary")
-    met = materialise(blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_meet(numer, denom, STAR), "cell long, a long, b long"), "cells")
+    blobs = rids.repartition(parts, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(trimmed(_deal(folder, text, k, numer, denom, parts, heavy, STAR)), "part long, blob binary")
+    met = materialise(blobs.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(trimmed(_meet(numer, denom, STAR)), "cell long, a long, b long"), "cells")
     # 3: what the R-trees let pass
     members = met.where("cell is not null").select("cell", F.col("a").alias("node")).distinct()
     members = members.join(f.select(F.col("rid").alias("node"), "n", "point"), "node")
-    passed = members.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(_survivors(numer, denom), "a long, b long")
+    passed = members.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(trimmed(_survivors(numer, denom)), "a long, b long")
     ties = materialise(passed.unionByName(met.where("cell is null").select("a", "b")), "ties")
     discard(met)
     roots = components(ties)
@@ -628,7 +628,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
 
     # Whole rows come back from the store, so the documents are never shuffled.
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stay.repartition(n, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(rows, docs.schema)
+    return stay.repartition(n, F.shiftright("rid", 33)).sortWithinPartitions("rid").mapInArrow(trimmed(rows), docs.schema)
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._segments import SegmentEncoder
-from ._util import chunks, column, keyed, read_table, trim
+from ._util import chunks, column, keyed, read_table, trim, trimmed
 
 _SPACE = "▁"
 _BLOCK = 512 << 10  # bytes of text cut and gathered at once
@@ -409,11 +409,16 @@ def _around(docs: DataFrame, name: str) -> DataFrame:
     return docs
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every text (array<int>) as one more column."""
-    docs = _around(docs, ids)
+def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str | None = None, crc: str | None = None) -> DataFrame:
+    """``docs`` with the ids of every text (array<int>) as one more column.
+
+    Asked by name, also what the ids decode to (from the ids alone), and their CRC-32 as 32-bit
+    little-endian integers; all in one pass, so that a task needs one worker."""
+    new = [(ids, T.ArrayType(T.IntegerType(), False)), *([(decoded, T.StringType())] if decoded else []), *([(crc, T.LongType())] if crc else [])]
+    for name, _ in new:
+        docs = _around(docs, name)
     keep = docs.columns
-    schema = T.StructType([*docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
+    schema = T.StructType([*docs.schema, *[T.StructField(*f) for f in new]])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trim()
@@ -422,10 +427,15 @@ def encode(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") ->
             for part, col in chunks(batch, text, _BLOCK):
                 flat, rows = m.rows(col)
                 trim()
-                out = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.record_batch([*[column(part, c) for c in keep], out], names=[*keep, ids])
+                out = [pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(flat, pa.int32()))]
+                own = [flat[a:b] for a, b in zip(rows[:-1], rows[1:], strict=True)]
+                if decoded:
+                    out.append(pa.array([m.decode(x) for x in own], pa.string()))
+                if crc:
+                    out.append(pa.array([zlib.crc32(x.astype("<i4").tobytes()) for x in own], pa.int64()))
+                yield pa.record_batch([*[column(part, c) for c in keep], *out], names=[*keep, *[n for n, _ in new]])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -441,20 +451,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", text: str = "decoded")
             texts = [m.decode(np.asarray(x.values)) if x.is_valid else "" for x in lists]
             yield pa.record_batch([*[column(batch, c) for c in keep], pa.array(texts, pa.string())], names=[*keep, text])
 
-    return docs.mapInArrow(run, schema)
-
-
-def digests(docs: DataFrame, ids: str = "ids") -> DataFrame:
-    """``docs`` with n_pieces and ids_crc32 (of the ids as 32-bit little-endian integers) in place of the ids."""
-    keep = [c for c in docs.columns if c != ids]
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType())])
-
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            lists = [np.asarray(x.values).astype("<i4") for x in column(batch, ids)]
-            yield pa.record_batch([*[column(batch, c) for c in keep], pa.array([len(x) for x in lists], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in lists], pa.int64())], names=[*keep, "n_pieces", "ids_crc32"])
-
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def default_model() -> str:
@@ -466,6 +463,6 @@ def default_model() -> str:
 def op9(spark, sf_dir: str) -> DataFrame:
     """Query over all of ``documents``: encoded, decoded again, and both compared."""
     docs = keyed(read_table(spark, sf_dir, "documents"), "doc_id", "text")
-    both = decode(encode(docs, default_model()), default_model())
+    both = encode(docs, default_model(), decoded="decoded", crc="ids_crc32")
     same = F.col("decoded") == F.coalesce(F.replace("text", F.lit(_SPACE), F.lit(" ")), F.lit(""))
-    return digests(both.select("doc_id", "ids", same.alias("round_trip"))).select("doc_id", "n_pieces", "ids_crc32", "round_trip")
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids_crc32", same.alias("round_trip"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._util import buffers, chunks, column, keyed, read_table
+from ._util import buffers, chunks, column, keyed, read_table, trimmed
 from ._words import LOWER
 
 
@@ -227,7 +227,7 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ru
                 rows = [[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in index.spans(col)]
                 yield pa.record_batch([column(part, doc_id), pa.array(rows, _SPAN)], names=[doc_id, "spans"])
 
-    return docs.mapInArrow(run, f"`{doc_id}` {kind}, spans array<struct<kind:string,start:long,end:long>>")
+    return docs.mapInArrow(trimmed(run), f"`{doc_id}` {kind}, spans array<struct<kind:string,start:long,end:long>>")
 
 
 def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -248,7 +248,7 @@ def redact(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
                         texts[r] = _cut(texts[r], found)
                 yield part.set_column(i, part.schema.field(i), pa.array(texts, part.schema.field(i).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def _cut(text: str, spans: list[tuple[str, int, int]]) -> str:

@@ -63,7 +63,7 @@ def test_pipeline(spark, folder):
     lib = sentencepiece.SentencePieceProcessor(model_file=default_model())
     for d, t, lang, source in rows:
         r = got[d]
-        assert list(r.ids) == lib.encode(r.text) and (r.lang, r.source, r.n_chars) == (lang, source, len(r.text))
+        assert list(r.ids) == lib.encode(r.text) and r.decoded == r.text and (r.lang, r.source, r.n_chars) == (lang, source, len(r.text))
         assert (r.text == t) == (not any(brute.secrets(t)[0]) and "ghp_" not in t)
     assert got[9002].text.endswith(" [ASSIGN]")
 
@@ -80,7 +80,7 @@ def test_contract_sql(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
