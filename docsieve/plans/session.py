@@ -20,6 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
@@ -30,6 +31,7 @@ from ..functions import filetype, language, pdf, xml, xmlread
 from ..operators import bayes, categories, keyterms, segments, xpaths
 from ..sources import corpus, scratch, sinks
 from ..streaming import jobs
+from ..streaming.runlog import RunLog
 
 DEFAULT_STAGES = ("walk", "filetype", "pdf", "xml", "keyterms", "categories", "out")
 
@@ -557,19 +559,68 @@ def parse(argv: list[str]) -> SessionConfig:
     return config.selected(a.select) if a.select else config.without(a.remove)
 
 
+def warnings_of(config: SessionConfig) -> list[str]:
+    """Selected stages that will find nothing to do, as they are configured."""
+    lacks = {"categories": config.category_tables is None or not config.categorizations, "bayes": config.bayes_model is None, "segments": not config.segments, "validation": not config.dtds and not config.schemas, "enrich": not config.templates}
+    asks = {"categories": "tables and categorizations", "bayes": "a model", "segments": "selectors", "validation": "DTDs or schemas", "enrich": "templates"}
+    out = [f"{n}: needs {asks[n]}" for n in config.stages if lacks.get(n)]
+    if "categories" in config.stages and "xml" not in config.stages:
+        out.append("categories: the stage xml is not selected")
+    return out
+
+
 def launch(spark: SparkSession, config: SessionConfig) -> list[str]:
     """Runs a session, in bundles where the configuration says so; the output folders.
 
-    Bundles resume after a lost driver: the stream's checkpoint says which files are done."""
+    Bundles resume after a lost driver: the stream's checkpoint says which files are done, and a
+    bundle that is done again replaces its own results.  The inventory of all bundles is kept as a
+    table and written beside them.  ``log`` below the output holds the run's course and warnings."""
+    log = RunLog(spark, f"{config.output_path}/log")
+    try:
+        config = load_resources(spark, config)
+        log.info("session started", config.corpusname)
+        for w in warnings_of(config):
+            log.warning(w, config.corpusname)
+        done = _launch(spark, config, log)
+        log.info("session ended", config.corpusname)
+        return done
+    except Exception as e:
+        log.error(e, config.corpusname)
+        raise
+
+
+def _failed(log: RunLog, records: DataFrame, folder: str) -> None:
+    """A warning where records ended with an error."""
+    n = records.where("status = 'error'").count() if "status" in records.columns else 0
+    if n:
+        log.warning(f"{n} records with an error", folder)
+
+
+def _launch(spark: SparkSession, config: SessionConfig, log: RunLog) -> list[str]:
     if not config.bundle:
-        run(spark, config)
+        _failed(log, run(spark, config), config.output_path)
         return [config.output_path]
     done: list[str] = []
+    state = f"{config.output_path}/xpaths/bundles"
 
     def one(docs: DataFrame, n: int) -> None:
-        done.append(f"{config.output_path}/bundle={n}")
-        run(docs.sparkSession, replace(config, output_path=done[-1]), docs)
-
-    files = corpus.stream(spark, config.input_path, config.corpusname, config.now, config.bundle)
-    jobs.in_bundles(files, one, f"{config.output_path}/checkpoint").awaitTermination()
+        folder = f"{config.output_path}/bundle={n}"
+        records = run(docs.sparkSession, replace(config, output_path=folder), docs)
+        _failed(log, records, folder)
+        if "xpaths" in config.stages:
+            jobs.merge_paths(xpaths.summed(records.where("xpaths is not null").select(F.inline("xpaths"))), state, n)
+            jobs.compact_paths(docs.sparkSession, state)
+        done.append(folder)
+
+    name = f"{config.corpusname}-{uuid.uuid4().hex}"
+    listener = log.listener(name)
+    spark.streams.addListener(listener)
+    try:
+        files = corpus.stream(spark, config.input_path, config.corpusname, config.now, config.bundle)
+        jobs.in_bundles(files, one, f"{config.output_path}/checkpoint", name).awaitTermination()
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        spark.streams.removeListener(listener)
+    if "xpaths" in config.stages:
+        xpaths.write_csv(jobs.path_state(spark, state), f"{config.output_path}/xpaths/xpaths.csv")
     return done

@@ -21,12 +21,34 @@ def root(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def _at(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    part = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+    fs, p = _at(spark, part)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(p, _at(spark, path)[1])
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing where there is none."""
+    fs, p = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder, as long as the session lives."""
     if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
         return
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
 
 
 def folder(spark: SparkSession, name: str) -> str:

@@ -122,7 +122,8 @@ def write_guesses(guesses: DataFrame, path: str) -> None:
 
 
 def run_log(errors: DataFrame, path: str) -> None:
-    errors.write.mode("append").parquet(path)
+    """The records with an error; a bundle that is done again replaces its own."""
+    errors.write.mode("overwrite").parquet(path)
 
 
 def stop_words(lemmas: DataFrame) -> DataFrame:
