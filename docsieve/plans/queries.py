@@ -31,7 +31,7 @@ def spread(df: DataFrame) -> DataFrame:
     Texts are costly to analyse and a file of one row group is read by one task; with as
     many files as cores the scan is parallel by itself and nothing is shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:

@@ -167,7 +167,7 @@ isl as (select doc_id, pos, token, pos - row_number() over (partition by doc_id
 run as (select doc_id, island, string_agg(token, ' ' order by pos) as run, count(*) as words from isl group by doc_id, island),""" + _freq() + " select doc_id, term, frequency from freq",
     "keyterm_stage_log": _FREQ + """, t as (select doc_id, count(*) as n from term group by doc_id), f as (select doc_id, count(*) as n from freq group by doc_id)
 select d.doc_id, case when coalesce(n_tokens, 0) = 0 then 'TOKENIZATION' when t.n is null then 'EXTRACTION' when f.n is null then 'INDEXATION' end as missing
-from documents d left join size using (doc_id) left join t using (doc_id) left join f using (doc_id) where d.text is not null""",
+from documents d left join size using (doc_id) left join t using (doc_id) left join f using (doc_id)""",
     "segment_matrix": _SEG + " select doc_id, segment, term, value from cells",
     "segment_fmeasure": _SEG_F + " select doc_id, segment, term, round(fr, 8) as fr, round(fp, 8) as fp, round(ff, 8) as ff, round(mean, 8) as mean from fs join mm using (doc_id)",
     "segment_keywords": _SEG_F + "," + _TITLE + """,

@@ -76,7 +76,7 @@ def test_keyword_pipeline(spark):
     assert rows[1, "alpha"].frequency == 2 and rows[1, "alpha beta gamma"].strength == 3
     assert rows[1, "alpha"].specificity == 1.0
     log = {r.doc_id: r.missing for r in keyterms.stage_log(docs).collect()}
-    assert log == {1: None, 2: "TOKENIZATION", 4: "EXTRACTION"}
+    assert log == {1: None, 2: "TOKENIZATION", 3: "TOKENIZATION", 4: "EXTRACTION"}
     cut = keyterms.keywords(docs).collect()
     assert {r.term for r in cut} == {"alpha", "beta"} and [r.rank for r in sorted(cut, key=lambda r: r.term)] == [1, 2]
 
@@ -127,3 +127,27 @@ def test_one_tokeniser_in_the_plan(spark):
     assert sorted(tuple(r) for r in found.collect()) == [(1, "birch", 2, 1), (1, "birch maple birch", 1, 3), (1, "maple", 1, 1)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lower(") == 1
+
+
+def test_lexicon_and_lemmas_look_each_token_up_once(spark, monkeypatch):
+    """The table of outcomes and the join by token give the same; the former shuffles no tokens."""
+    import random
+
+    rng = random.Random(3)
+    words = ["running", "leaves", "green", "oaks", "the1", "walked", "unknown", "stop", "abc", "x_yz"]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words) + rng.choice(["", "", ",", "."]) for _ in range(rng.randrange(60)))) for i in range(40)] + [(99, None), (100, "")], "doc_id long, text string").repartition(3)
+    lexicon = spark.createDataFrame([("running", "VBG"), ("leaves", "NNS"), ("green", "JJ"), ("oaks", "NNS"), ("walked", "VBD"), ("stop", "NN"), ("#", "NN")], "token string, tag string")
+    lemmas = spark.createDataFrame([("leaves", "noun", 1, "leave"), ("leaves", "noun", 2, "leaf"), ("oaks", "noun", 1, "stop"), ("unknown", "noun", 1, "unknowable"), ("green", "verb", 1, "no")], "token string, pos string, ord int, lemma string")
+    for lex, lem in ((lexicon, lemmas), (lexicon, None), (None, lemmas)):
+        resources = keyterms.Resources(("stop",), lexicon=lex, lemmas=lem)
+        key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+        quick = keyterms.term_frequency(docs, resources)
+        plan = quick._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and plan.count("Generate") == 1
+        log = key(keyterms.stage_log(docs, resources))
+        monkeypatch.setattr(keyterms, "WORDS", 1)
+        slow = key(keyterms.term_frequency(docs, resources))
+        assert "Join" in keyterms.term_frequency(docs, resources)._jdf.queryExecution().optimizedPlan().toString()
+        assert key(quick) == slow and len(slow) > 20 and key(keyterms.stage_log(docs, resources)) == log
+        monkeypatch.undo()
+    assert ("99", "TOKENIZATION") in log and ("100", "TOKENIZATION") in log
