@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import word_tokens
+from ..sources import scratch
 
 LIMIT = 2048
 LEAST, MOST = 0.0001, 0.9999
@@ -88,7 +89,8 @@ def cascade(docs: DataFrame, model: DataFrame, verbalization: DataFrame | None =
     now = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(entry).alias("training"))
     out = None
     for level in range(1, depth + 1):
-        best = guess(score(now, model, keys=("training",)), ("training",), least)
+        # Written: the level's rows and the next level read it, and plans do not pile up level upon level.
+        best = scratch.write(guess(score(now, model, keys=("training",)), ("training",), least), f"guesses-{level}")
         rows = best.select("doc_id", F.lit(level).alias("level"), F.col("pool").alias("code"), F.col("score").alias("probability"))
         out = rows if out is None else out.unionAll(rows)
         if level == depth:
@@ -98,3 +100,17 @@ def cascade(docs: DataFrame, model: DataFrame, verbalization: DataFrame | None =
     if verbalization is not None:
         out = out.join(verbalization.select("code", "verbalization"), "code", "left").select("doc_id", "level", "code", "probability", "verbalization")
     return out
+
+
+def train(labelled: DataFrame, training: str = "entry", label: str = "pool", text: str = "text", lower: bool = False) -> DataFrame:
+    """training, pool, word, p of labelled texts; rows without a label or text teach nothing."""
+    known = labelled.where((F.col(label) != "") & F.col(text).isNotNull())
+    return probabilities(train_counts(known, label, text, lower)).select(F.lit(training).alias("training"), "pool", "word", "p")
+
+
+def try_out(labelled: DataFrame, model: DataFrame, training: str = "entry", label: str = "pool", text: str = "text", lower: bool = False) -> DataFrame:
+    """label, code, probability: what a model says of each labelled text; code is null where it says nothing."""
+    rows = labelled.where(F.col(label) != "").select(F.col(label).alias("label"), F.col(text).alias("text"))
+    rows = scratch.write(rows.withColumn("id", F.monotonically_increasing_id()), "labelled")
+    best = guess(score(rows, model.where(F.col("training") == training), doc_id="id", lower=lower))
+    return rows.join(best.select(F.col("doc_id").alias("id"), F.col("pool").alias("code"), F.col("score").alias("probability")), "id", "left").select("label", "code", "probability")

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import filetype, language, pdf, xml, xmlread
+from ..functions import filetype, language, pdf, text, xml, xmlread
 from ..operators import bayes, categories, keyterms, segments, xpaths
 from ..sources import corpus, scratch, sinks
 from ..streaming import jobs
@@ -299,11 +299,15 @@ def _write_enrichments(records: DataFrame, config: SessionConfig) -> None:
     sinks.write_enrichments(each.select("path", "e.label", "e.enrichment.kind", F.col("e.enrichment.output").alias("rendered")), f"{config.output_path}/enrichments")
 
 
+def _document_id(docs: DataFrame) -> Column:
+    return text.base_name(F.col("name"), F.col("extension")) if "extension" in docs.columns else F.col("name")
+
+
 @stage("enrich", finish=_write_enrichments)
 def _enrich(docs: DataFrame, config: SessionConfig) -> DataFrame:
     """``enrichments``: the result columns of earlier stages through the configured templates.
 
-    A template that is none gives an ``error`` to the records it should have treated.  A template sees ``doc`` (path, name) and ``result`` (its column); a column that no earlier
+    A template that is none gives an ``error`` to the records it should have treated.  A template sees ``doc`` (path, name, id: the name without extension) and ``result`` (its column); a column that no earlier
     stage made is left out, a null result gives no enrichment."""
     if "enrichments" not in docs.columns:
         docs = docs.withColumn("enrichments", F.array().cast("array<struct<label:string,enrichment:struct<kind:string,output:string>>>"))
@@ -315,7 +319,7 @@ def _enrich(docs: DataFrame, config: SessionConfig) -> DataFrame:
             old = F.col("error") if "error" in docs.columns else F.lit(None).cast("string")
             docs = docs.withColumn("error", F.coalesce(old, F.when(F.col(t["column"]).isNotNull(), F.lit(wrong))))
             continue
-        data = F.struct(F.struct("path", "name").alias("doc"), F.col(t["column"]).alias("result"))
+        data = F.struct(F.struct("path", "name", _document_id(docs).alias("id")).alias("doc"), F.col(t["column"]).alias("result"))
         docs = docs.withColumn("_out", sinks.render(t["template"], F.when(F.col(t["column"]).isNotNull(), data)))
         more = sinks.append_enrichment(F.col("enrichments"), t["label"], t["kind"], F.col("_out"))
         docs = docs.withColumn("enrichments", F.when(F.col("_out").isNull(), F.col("enrichments")).otherwise(more)).drop("_out")

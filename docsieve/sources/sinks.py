@@ -113,12 +113,13 @@ def append_enrichment(enrichments: Column, label: str, kind: str, output: Column
 
 
 def save_model(model: DataFrame, path: str) -> None:
+    """A Bayes model (training, pool, word, p) as a table that sessions read with ``-m`` or as a resource."""
     model.write.mode("overwrite").parquet(path)
 
 
 def write_guesses(guesses: DataFrame, path: str) -> None:
     """``label;code;probability`` lines."""
-    guesses.write.mode("overwrite").option("sep", ";").csv(path)
+    guesses.select("label", "code", "probability").write.mode("overwrite").option("sep", ";").csv(path)
 
 
 def run_log(errors: DataFrame, path: str) -> None:
@@ -126,6 +127,9 @@ def run_log(errors: DataFrame, path: str) -> None:
     errors.write.mode("overwrite").parquet(path)
 
 
-def stop_words(lemmas: DataFrame) -> DataFrame:
-    """The distinct lemmas of a word list, as a stop-word table."""
-    return lemmas.select("lemma").distinct()
+def stop_words(words: DataFrame, resources) -> DataFrame:
+    """The distinct lemmas of a word list (a column ``value``, a word a row) by lexicon and lemmas, as a stop-word table."""
+    from ..operators import keyterms
+
+    tokens = words.select(F.lower(F.trim("value")).alias("token")).where("token != ''").distinct()
+    return keyterms.lemmatize(keyterms.tag(tokens, resources.lexicon), resources.lemmas).select("lemma").distinct()
