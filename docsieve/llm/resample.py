@@ -129,11 +129,26 @@ def top_k(rows: DataFrame, key: str, k: int, tie: list[str]) -> DataFrame:
                 break
             need -= counts.get(digit, 0)
         prefix = (prefix << _DIGIT) | digit
-    # Equal to 2**-32 (no weight at a usual scale is beyond the range): the tied rows alone are ordered.
-    ties = rows.where(F.col("__k") == prefix).withColumn("selected", F.row_number().over(Window.orderBy(F.desc(key), *tie)) <= need)
+    # Equal to 2**-32 (no weight at a usual scale is beyond the range): the tied rows alone are ordered,
+    # numbered in a sort by range, as a table of null ids may hold nothing but ties.
+    ties = _first(rows.where(F.col("__k") == prefix), [F.desc(key), *[F.asc_nulls_first(c) for c in tie]], need)
     return rows.where(F.col("__k") != prefix).withColumn("selected", F.col("__k") > prefix).unionByName(ties).drop("__k")
 
 
+def _first(rows: DataFrame, order: list, n: int) -> DataFrame:
+    """``rows`` with boolean ``selected`` for the first ``n`` in an order; equal rows are taken in any."""
+    columns = rows.columns
+    sort = [*order, F.asc("__salt")]
+    placed = rows.withColumn("__salt", F.rand(SEED)).repartitionByRange(*sort).sortWithinPartitions(*sort).withColumn("__at", F.monotonically_increasing_id())
+    placed = materialise(placed.select(*columns, "__at"), "ties")
+    part = F.shiftright("__at", 33)
+    per = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = per.select("__part", before.alias("__begin"))  # a row per sorted partition
+    numbered = placed.withColumn("__part", part).join(F.broadcast(starts), "__part")
+    return numbered.select(*columns, (F.col("__begin") + F.col("__at").bitwiseAND((1 << 33) - 1) < n).alias("selected"))
+
+
 def good_share(labels: DataFrame) -> float:
     """The share of good ids among the labelled ones; 1 if none is good, as nothing can be told apart then."""
     per = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long")).agg(F.max(F.expr("quality = 1 and toxic = 0")).alias("good"))

@@ -20,8 +20,8 @@ Steps, all on rows of a few numbers (texts are digested in the scan and never sh
    depth from which it owns.  Copied to the path's blocks this meets the turns again, and
    the prefix grouping sums up.
 
-Member ids for ``ends`` are read in order and hashed as they stream by; that one node's
-digest cannot be divided, so a node's ids are read by one task, eight bytes each, none kept.
+Member ids for ``ends`` are sorted and written out in parallel; a digest cannot be divided, so
+the packs of one node are hashed by one task as they stream by, none kept.
 
 Defined cases: rows without conv_id belong to no conversation; a null role or text is empty;
 turns come by number (null first), equal ones by the MD5 digest of role and text, so rows
@@ -110,32 +110,70 @@ KEY = ["pos", "x", "y"]
 
 
 def ends(found: DataFrame) -> DataFrame:
-    """key and ends_sha256 of nodes at which paths end: ids in order, hashed as they come."""
+    """key and ends_sha256 of nodes at which paths end: ids in order, hashed as they come.
 
+    Ids are sorted by range, so those of one node spread over tasks, which write them out in packs of
+    ``PACK`` bytes; only the packs of a node meet, to be hashed one after the other."""
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = found.where("last").select(*KEY, "conv").repartitionByRange(n, *KEY, "conv").sortWithinPartitions(*KEY, "conv")
+    packs = ids.mapInArrow(_packed(PACK), "pos long, x long, y long, first long, ids binary")
+    return packs.repartition(*KEY).sortWithinPartitions(*KEY, "first").mapInArrow(_hashed, "pos long, x long, y long, ends_sha256 string")
+
+
+def _packed(most: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, digest = None, None
+        key, first, ids, size, out = None, None, [], 0, []
+
+        def flush() -> None:
+            nonlocal ids, size
+            if ids:
+                out.append((*key, first, b",".join(ids)))
+            ids, size = [], 0
+
         for batch in it:
-            rows = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
-            out = []
-            for now, conv in zip(rows, batch.column(3).to_pylist(), strict=True):
-                if now == key:
-                    digest.update(b",%d" % conv)
-                else:
-                    if key is not None:
-                        out.append((*key, digest.hexdigest()))
-                    key, digest = now, hashlib.sha256(b"%d" % conv)
-            if out:
-                yield _batch(out)
-        if key is not None:
-            yield _batch([(*key, digest.hexdigest())])
-
-    ids = found.where("last").select(*KEY, "conv").repartition(*KEY).sortWithinPartitions(*KEY, "conv")
-    return ids.mapInArrow(run, "pos long, x long, y long, ends_sha256 string")
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    pos, x, y, digest = zip(*rows, strict=True)
-    return pa.record_batch([pa.array(pos, pa.int64()), pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(digest, pa.string())], names=[*KEY, "ends_sha256"])
+            for *now, conv in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if now != key or size >= most:
+                    flush()
+                    key, first = now, conv
+                ids.append(b"%d" % conv)
+                size += len(ids[-1]) + 1
+            if len(out) >= 1000:
+                yield _batch(out, _PACKS)
+                out.clear()
+        flush()
+        if out:
+            yield _batch(out, _PACKS)
+
+    return run
+
+
+def _hashed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    key, digest = None, None
+    for batch in it:
+        out = []
+        for *now, _, ids in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            if now == key:
+                digest.update(b",")
+            else:
+                if key is not None:
+                    out.append((*key, digest.hexdigest()))
+                key, digest = now, hashlib.sha256()
+            digest.update(ids)
+        if out:
+            yield _batch(out, _DIGESTS)
+    if key is not None:
+        yield _batch([(*key, digest.hexdigest())], _DIGESTS)
+
+
+#: Bytes of member ids written as one row.
+PACK = 1 << 16
+_KEY_TYPES = [(k, pa.int64()) for k in KEY]
+_PACKS = pa.schema([*_KEY_TYPES, ("first", pa.int64()), ("ids", pa.binary())])
+_DIGESTS = pa.schema([*_KEY_TYPES, ("ends_sha256", pa.string())])
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def trie(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", block: int = BLOCK) -> DataFrame:

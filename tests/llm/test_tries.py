@@ -75,7 +75,9 @@ def test_one_conversation_holds_most_rows(spark):
     assert sorted(got, key=str) == sorted(want, key=str) and len(got) == len(want) > 3000
 
 
-def test_many_end_at_one_node(spark):
+@pytest.mark.parametrize("pack", [10, 1 << 16])
+def test_many_end_at_one_node(spark, pack, monkeypatch):
+    monkeypatch.setattr(tries, "PACK", pack)
     rows = [(c, t, "user", f"{t}") for c in range(1000, 1400) for t in range(9)]
     got = [tuple(r) for r in tries.trie(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()]
     assert sorted(got, key=str) == sorted(plain(rows), key=str)
