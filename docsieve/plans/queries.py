@@ -55,6 +55,16 @@ def walk_file_info(spark, d):
     return corpus.from_table(_docs(spark, d), "corpus", 0).select("corpusname", "startAt", "path", "name", "extension", "size")
 
 
+def walk_folders(spark, d):
+    """Pages written as files in folders, walked again: bytes and characters by folder."""
+    path = scratch.folder(spark, "walk")
+    pages = table(spark, d, "pages").select(F.coalesce("html", F.lit("")).alias("value"), (F.col("page_id") % 16).alias("bucket"))
+    pages.write.partitionBy("bucket").text(f"{path}/deep")
+    files = corpus.walk(spark, path, "corpus", 7)
+    read = files.select("corpusname", "startAt", "extension", F.regexp_extract("path", r"bucket=(\d+)", 1).cast("long").alias("bucket"), "size", filetype.decoded(F.col("content")).alias("text"))
+    return read.groupBy("corpusname", "startAt", "extension", "bucket").agg(F.sum("size").alias("bytes"), F.sum(F.length("text")).alias("chars"))
+
+
 def filetype_detect(spark, d):
     pages = table(spark, d, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     docs = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
@@ -378,6 +388,29 @@ def pdf_word_stats(spark, d):
     return per.select("conv_id", "pages", "words", F.expr("words div pages").alias("words_by_page"))
 
 
+def _pdf_files(spark, d):
+    """A PDF file for every conversation, a page for each turn."""
+    shown = F.regexp_replace(F.coalesce("text", F.lit("")), r"([\\\\()])", r"\\\\$1")
+    turns = spread(table(spark, d, "conversations").select("conv_id", "turn", shown.alias("text")))
+    at = F.lit(10) + 2 * F.col("i")
+    stream = F.concat(F.lit("BT ("), F.col("text"), F.lit(") Tj ET"))
+    page = F.concat(at, F.lit(" 0 obj << /Type /Page /Contents "), at + 1, F.lit(" 0 R >> endobj\n"), at + 1, F.lit(" 0 obj << >>\nstream\n"), stream, F.lit("\nendstream endobj\n"))
+    from pyspark.sql import Window
+
+    pages = turns.withColumn("i", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "text"))).select("conv_id", "i", page.alias("page"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "page"))), lambda p: p["page"]), "")
+    head = F.concat(F.lit("%PDF-1.5\n3 0 obj << /Title (talk "), F.col("conv_id"), F.lit(") >> endobj\n"))
+    whole = pages.groupBy("conv_id").agg(body.alias("body")).select("conv_id", F.concat(head, "body", F.lit("trailer << /Info 3 0 R >>\n%%EOF")).alias("x"))
+    return whole.select("conv_id", F.encode("x", "ISO-8859-1").alias("content"))
+
+
+def pdf_files(spark, d):
+    """Type, title, pages and words of PDF files by a session's stages."""
+    docs = _pdf_files(spark, d).select(F.col("conv_id").cast("string").alias("path"), F.col("conv_id").cast("string").alias("name"), "content")
+    out = session.run(spark, session.SessionConfig("corpus", "talks", stages=("filetype", "pdf")), docs)
+    return out.select(F.col("path").cast("long").alias("conv_id"), "mimetype", F.col("mimedetails.complete").alias("complete"), F.col("pdfMetadata")["Title"].alias("title"), F.col("pdfPageTotal").cast("long").alias("pages"), F.col("pdfWordCount").cast("long").alias("words"), F.col("pdfWordByPage").cast("long").alias("words_by_page"))
+
+
 def error_log_rollup(spark, d):
     e = table(spark, d, "events").withColumn("error", F.when(F.col("event_type") == "error", F.col("props")))
     good, bad = session.split_errors(e)
@@ -458,10 +491,10 @@ def stem_words(spark, d):
 QUERIES = {
     f.__name__: f
     for f in (
-        walk_file_info, filetype_detect, filetype_encoding, filetype_bytes, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
+        walk_file_info, walk_folders, filetype_detect, filetype_encoding, filetype_bytes, token_stream, token_count, token_sanitize, tag_tokens, lemmatize_tokens, multiterm_runs,
         keyterm_frequency, keyterm_specificity, keyterm_ranking, keyterm_tagged_ranking, keyterm_stage_log, segment_matrix, segment_fmeasure, segment_keywords,
         bayes_counts, bayes_probs, bayes_scores, bayes_guess, bayes_cascade, lang_detect, lang_gate, lang_profiles, lang_identify, category_lookup, category_abort, config_match,
-        xml_metadata, xml_wellformed, xml_dtd_validate, xml_errors, xml_schema_errors, xml_number_regex, css_select_text, xpath_inventory, pdf_word_stats, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
+        xml_metadata, xml_wellformed, xml_dtd_validate, xml_errors, xml_schema_errors, xml_number_regex, css_select_text, xpath_inventory, pdf_word_stats, pdf_files, error_log_rollup, bundle_batches, out_json, sink_xpaths, enrichment_render,
         session_bayes, session_segments, session_validation, stem_words,
     )
 }

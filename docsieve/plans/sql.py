@@ -117,6 +117,9 @@ profile as (
 
 
 ORACLE_SQL = {
+    "walk_folders": "select 'corpus' as corpusname, cast(7 as bigint) as \"startAt\", '.txt' as extension, page_id % 16 as bucket, cast(sum(strlen(coalesce(html, '')) + 1) as bigint) as bytes, cast(sum(length(coalesce(html, '')) + 1) as bigint) as chars from pages group by all",
+    "pdf_files": r"""with p as (select conv_id, len(regexp_split_to_array(coalesce(text, '') || chr(10), '\s+')) as w from conversations)
+select conv_id, 'application/pdf' as mimetype, 'PDF document, version 1.5' as complete, 'talk ' || conv_id as title, count(*) as pages, cast(sum(w) as bigint) as words, cast(sum(w) // count(*) as bigint) as words_by_page from p group by conv_id""",
     "xml_schema_errors": """select o_orderkey, cast((o_orderkey % 6 = 0)::int + (o_orderkey % 4 = 0)::int + (o_orderkey % 5 = 0)::int as bigint) as n_errors,
   concat_ws(',', case when o_orderkey % 6 = 0 then '2' end, case when o_orderkey % 4 = 0 then '3' end, case when o_orderkey % 5 = 0 then '4' end) as lines from orders""",
     "filetype_bytes": r"""with p as (select page_id, page_id % 12 as k, coalesce(url, '') as url, coalesce(html, '') as html from pages),
