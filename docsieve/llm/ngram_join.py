@@ -470,7 +470,8 @@ def _verify(k: int, numer: int, denom: int):
     """Cells (cell, node, part, minor, text), sorted by cell, to links between nodes."""
 
     def group(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(rows)
+        t = pa.Table.from_batches(rows).combine_chunks()
+        rows = t.to_batches()
         node, part = t["node"].to_pylist(), t["part"].to_pylist()
         minor = np.asarray(t["minor"].combine_chunks())
         sets: list[np.ndarray] = []
@@ -525,14 +526,21 @@ def _fetch(folder: str, text: str):
     return run
 
 
-def _cells(members: DataFrame, folder: str, text: str, k: int, numer: int, denom: int) -> DataFrame:
-    """members: cell, node, part, minor.  A node is the number of its row in the store."""
+def _cells(members: DataFrame, folder: str, text: str, k: int, numer: int, denom: int, copies: bool = False) -> DataFrame:
+    """members: cell, node, part, minor.  A node is the number of its row in the store.
+
+    With ``copies`` (a node is in many cells) each cell's task reads its texts from the store itself, so that
+    no text is shuffled once for each cell; else texts are read in the store's order, once, and dealt out."""
     cell = "cell struct<root:long,i:long,j:long>, node long, part long, minor boolean"
     placed = members.select(F.struct(F.col("cell.root").alias("root"), F.col("cell.i").cast("long").alias("i"), F.col("cell.j").cast("long").alias("j")).alias("cell"), "node", "part", "minor")
     # Row numbers are narrow, reading what they stand for is not: a set count keeps tasks apart.
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = placed.repartition(n, F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(trimmed(_fetch(folder, text)), f"{cell}, text string")
-    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(trimmed(_verify(k, numer, denom)), "a long, b long")
+    fetch, verify = _fetch(folder, text), _verify(k, numer, denom)
+    if copies:
+        rows = placed.repartition(n, "cell").sortWithinPartitions("cell", "node")
+        return rows.mapInArrow(trimmed(lambda it: verify(fetch(it))), "a long, b long")
+    rows = placed.repartition(n, F.shiftright("node", 33)).sortWithinPartitions("node").mapInArrow(trimmed(fetch), f"{cell}, text string")
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(trimmed(verify), "a long, b long")
 
 
 # ---------------------------------------------------------------- the join
@@ -608,7 +616,7 @@ def _rest(large: DataFrame, linked: DataFrame, folder: str, text: str, k: int, n
     everyone = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_leaves") - 1)).alias("i")).select("root", "i", F.col("leaf").alias("j"), "node", "part", F.col("minor") & (F.col("own") == F.col("i")))
     own = rows.where("minor").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("leaves") - 1)).alias("j")).select("root", F.col("own").alias("i"), "j", "node", "part", F.lit(True))
     cells = everyone.unionAll(own).toDF("root", "i", "j", "node", "part", "minor")
-    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "part", F.coalesce("minor", F.lit(False)).alias("minor")), folder, text, k, numer, denom)
+    return _cells(cells.select(F.struct("root", "i", "j").alias("cell"), "node", "part", F.coalesce("minor", F.lit(False)).alias("minor")), folder, text, k, numer, denom, copies=True)
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, numer: int = 80, denom: int = 100) -> DataFrame:
